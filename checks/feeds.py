@@ -1,16 +1,19 @@
-"""Message feeds made of the given tables: every row becomes a message.
+"""Message topics made of the given tables: every row becomes a message.
 
 The tables are clean, so dirt is added by arithmetic on the keys, which the SQL side
-repeats. Each builder returns ``(key, value, event_ts)``; ``event_ts`` is the row's
-own time, for feeds that are published in order of time.
+repeats. A topic is published once per session into the shared scratch folder, as a
+broker would hold it, and every query reads it from there.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+from tallywell.scratch import scratch_dir
+from tallywell.settings import Source
+from tallywell.sources import read_messages
+
+ISO = "yyyy-MM-dd\\'T\\'HH:mm:ss\\'Z\\'"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,18 +26,11 @@ def _spread(rows: DataFrame) -> DataFrame:
     return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
-def _every(key: str, n: int) -> Column:
-    return F.col(key) % n == 0
-
-
-def _id(prefix: str, key: str) -> Column:
-    return F.concat(F.lit(prefix), F.col(key).cast("string"))
-
-
-def _slot(key: str, *values: str) -> Column:
-    return F.element_at(
-        F.array(*(F.lit(v) for v in values)), (F.col(key) % len(values) + 1).cast("int")
-    )
+def _messages(rows: DataFrame, key: str, broken: str = "false") -> DataFrame:
+    """``(key, value, event_ts)`` of rows that end in ``event_ts``."""
+    fields = ", ".join(c for c in rows.columns if c not in ("event_ts", "source_key"))
+    value = f"CASE WHEN {broken} THEN 'not json' ELSE to_json(struct({fields})) END"
+    return rows.selectExpr(f"{key} AS key", f"{value} AS value", "event_ts")
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,112 +39,91 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
             "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"
         )
     )
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    rows = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    unit_cents = F.floor(cents / F.col("l_quantity").cast("bigint"))
-    txn_id = F.concat(_id("TXN-", "l_orderkey"), F.lit("-"), F.col("l_linenumber").cast("string"))
-    status = (
-        F.when(F.col("o_orderstatus") == "F", " Completed")
-        .when(F.col("o_orderstatus") == "O", "PENDING")
-        .otherwise("refunded ")
-    )
-    messages = rows.select(
-        "l_orderkey",
-        F.col("l_shipdate").alias("event_ts"),
-        F.when(_every("l_orderkey", 107), "").otherwise(txn_id).alias("transaction_id"),
-        F.when(_every("l_orderkey", 97), "")
-        .when(_every("o_custkey", 83), _id("CLI-X", "o_custkey"))
-        .otherwise(_id("CLI-", "o_custkey"))
-        .alias("client_id"),
-        F.when(_every("l_partkey", 89), _id("PRD-X", "l_partkey"))
-        .otherwise(_id("PRD-", "l_partkey"))
-        .alias("product_id"),
-        F.when(_every("l_orderkey", 101), 0)
-        .otherwise(F.col("l_quantity").cast("int"))
-        .alias("quantity"),
-        (unit_cents / 100.0).alias("unit_price"),
-        F.when(_every("l_orderkey", 109), -1.0)
-        .otherwise(F.col("l_extendedprice"))
-        .alias("total_amount"),
-        _slot("l_orderkey", " usd", "USD", "Usd ", "EUR", "gbp").alias("currency"),
-        _slot("l_orderkey", " Credit_Card", "PAYPAL ", "debit_card").alias("payment_method"),
-        status.alias("status"),
-        F.when(_every("l_orderkey", 103), "garbage")
-        .otherwise(F.date_format("l_shipdate", ISO))
-        .alias("transaction_time"),
+    orders = table(spark, sf_dir, "orders")
+    rows = lines.join(orders, lines.l_orderkey == orders.o_orderkey).selectExpr(
+        "if(l_orderkey % 107 = 0, '', concat('TXN-', l_orderkey, '-', l_linenumber)) AS transaction_id",
+        """CASE WHEN l_orderkey % 97 = 0 THEN '' WHEN o_custkey % 83 = 0
+           THEN concat('CLI-X', o_custkey) ELSE concat('CLI-', o_custkey) END AS client_id""",
+        "concat(if(l_partkey % 89 = 0, 'PRD-X', 'PRD-'), l_partkey) AS product_id",
+        "if(l_orderkey % 101 = 0, 0, int(l_quantity)) AS quantity",
+        "(bigint(round(l_extendedprice * 100)) div bigint(l_quantity)) / 100D AS unit_price",
+        "if(l_orderkey % 109 = 0, -1D, l_extendedprice) AS total_amount",
+        "element_at(array(' usd', 'USD', 'Usd ', 'EUR', 'gbp'), int(l_orderkey % 5) + 1) AS currency",
+        """element_at(array(' Credit_Card', 'PAYPAL ', 'debit_card'), int(l_orderkey % 3) + 1)
+           AS payment_method""",
+        """CASE o_orderstatus WHEN 'F' THEN ' Completed' WHEN 'O' THEN 'PENDING'
+           ELSE 'refunded ' END AS status""",
+        f"if(l_orderkey % 103 = 0, 'garbage', date_format(l_shipdate, '{ISO}')) AS transaction_time",
+        "l_shipdate AS event_ts",
+        "l_orderkey AS source_key",
     )
-    keep = ["l_orderkey", "event_ts"]
-    fields = [c for c in messages.columns if c not in keep]
-    return messages.select(
-        F.col("transaction_id").alias("key"),
-        F.when(_every("l_orderkey", 113), "not json")
-        .otherwise(F.to_json(F.struct(*fields)))
-        .alias("value"),
-        "event_ts",
-    )
-
-
-def _twice(rows: DataFrame, repeated: Column) -> DataFrame:
-    copies = F.when(repeated, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return rows.withColumn("v", F.explode(copies))
+    return _messages(rows, "transaction_id", broken="source_key % 113 = 0")
 
 
 def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = table(spark, sf_dir, "customer")
-    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    rows = customers.join(nations, customers.c_nationkey == nations.n_nationkey)
-    rows = _twice(rows, _every("c_custkey", 10))
-    days = (F.col("c_custkey") % 1825 + F.col("v")).cast("int")
-    registered = F.date_add(F.lit("2015-01-01").cast("date"), days).cast("timestamp_ntz")
-    rows = rows.select(
-        F.when(_every("c_custkey", 61), "").otherwise(_id("CLI-", "c_custkey")).alias("client_id"),
-        F.lower("n_name").alias("first_name"),
-        F.upper("c_name").alias("last_name"),
-        F.when(_every("c_custkey", 67), "nobody")
-        .otherwise(F.concat(_id(" USER", "c_custkey"), F.lit("@Example.COM ")))
-        .alias("email"),
-        F.concat(F.lit(" "), "n_name").alias("country"),
-        F.concat(_id("City ", "c_nationkey"), F.lit(" ")).alias("city"),
-        (F.col("c_custkey") % 115 + 10).cast("int").alias("age"),
-        F.when(F.col("v") == 1, "vip")
-        .otherwise(F.concat(F.lit(" "), F.lower("c_mktsegment")))
-        .alias("segment"),
-        F.when(_every("c_custkey", 71), "")
-        .otherwise(F.date_format(registered, ISO))
-        .alias("registered_at"),
-        registered.alias("event_ts"),
+    customers, nations = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    rows = (
+        customers.join(nations, customers.c_nationkey == nations.n_nationkey)
+        .selectExpr("*", "explode(if(c_custkey % 10 = 0, array(0, 1), array(0))) AS v")
+        .selectExpr(
+            "*",
+            "cast(date_add(date'2015-01-01', int(c_custkey % 1825) + v) AS timestamp_ntz) AS event_ts",
+        )
+        .selectExpr(
+            "if(c_custkey % 61 = 0, '', concat('CLI-', c_custkey)) AS client_id",
+            "lower(n_name) AS first_name",
+            "upper(c_name) AS last_name",
+            "if(c_custkey % 67 = 0, 'nobody', concat(' USER', c_custkey, '@Example.COM ')) AS email",
+            "concat(' ', n_name) AS country",
+            "concat('City ', c_nationkey, ' ') AS city",
+            "int(10 + c_custkey % 115) AS age",
+            "if(v = 1, 'vip', concat(' ', lower(c_mktsegment))) AS segment",
+            f"if(c_custkey % 71 = 0, '', date_format(event_ts, '{ISO}')) AS registered_at",
+            "event_ts",
+        )
     )
-    return _encoded(rows, "client_id")
+    return _messages(rows, "client_id")
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _twice(table(spark, sf_dir, "part"), _every("p_partkey", 20))
-    suffix = F.when(F.col("v") == 1, " v2 ").otherwise(" ")
-    rows = rows.select(
-        F.when(_every("p_partkey", 59), "").otherwise(_id("PRD-", "p_partkey")).alias("product_id"),
-        F.concat(F.lit(" "), "p_name", suffix).alias("name"),
-        F.lower("p_type").alias("category"),
-        F.when(~_every("p_partkey", 7), F.concat(F.lit(" "), "p_brand")).alias("sub_category"),
-        F.col("p_brand").alias("brand"),
-        F.when(_every("p_partkey", 53), 0.0).otherwise(F.col("p_retailprice")).alias("price"),
-        F.when(~_every("p_partkey", 11), F.col("p_size") / 8.0).alias("weight_kg"),
-        F.when(~_every("p_partkey", 13), F.col("p_partkey") % 15 / 2.0).alias("rating"),
-        (F.col("p_partkey") % 5000 - 50).cast("int").alias("stock"),
-        F.lit(None).cast("timestamp_ntz").alias("event_ts"),
+    rows = (
+        table(spark, sf_dir, "part")
+        .selectExpr("*", "explode(if(p_partkey % 20 = 0, array(0, 1), array(0))) AS v")
+        .selectExpr(
+            "if(p_partkey % 59 = 0, '', concat('PRD-', p_partkey)) AS product_id",
+            "concat(' ', p_name, if(v = 1, ' v2 ', ' ')) AS name",
+            "lower(p_type) AS category",
+            "if(p_partkey % 7 = 0, NULL, concat(' ', p_brand)) AS sub_category",
+            "p_brand AS brand",
+            "if(p_partkey % 53 = 0, 0D, p_retailprice) AS price",
+            "if(p_partkey % 11 = 0, NULL, p_size / 8D) AS weight_kg",
+            "if(p_partkey % 13 = 0, NULL, (p_partkey % 15) / 2D) AS rating",
+            "int(p_partkey % 5000 - 50) AS stock",
+            "cast(NULL AS timestamp_ntz) AS event_ts",
+        )
     )
-    return _encoded(rows, "product_id")
+    return _messages(rows, "product_id")
 
 
-def _encoded(rows: DataFrame, key: str) -> DataFrame:
-    fields = [c for c in rows.columns if c != "event_ts"]
-    return rows.select(
-        F.col(key).alias("key"), F.to_json(F.struct(*fields)).alias("value"), "event_ts"
-    )
+BUILDERS = {"transactions": transactions, "clients": clients, "products": products}
+_published: dict[tuple[str, str, str], Source] = {}
 
 
-BUILDERS = {"transactions": transactions, "clients": clients, "products": products}
+def topic(spark: SparkSession, sf_dir: str, name: str) -> Source:
+    """The topic of that name, published on its first use in a session."""
+    known = (spark.sparkContext.applicationId, sf_dir, name)
+    if known not in _published:
+        source = Source("parquet", scratch_dir(spark, f"topic-{name}"))
+        # the time stays beside the message, for queries that publish in its order
+        BUILDERS[name](spark, sf_dir).write.parquet(source.location)
+        _published[known] = source
+    return _published[known]
+
+
+def feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return read_messages(spark, topic(spark, sf_dir, name))
 
 
-def feed(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
-    return BUILDERS[topic](spark, sf_dir)
+def timed_feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The messages with the time of the row each was made of."""
+    return spark.read.parquet(topic(spark, sf_dir, name).location)

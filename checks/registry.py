@@ -76,9 +76,6 @@ def cleaned(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     return CLEANERS[topic](feed(spark, sf_dir, topic))
 
 
-def cleaned_all(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    return [cleaned(spark, sf_dir, topic) for topic in TOPICS]
-
 
 # --- messages -----------------------------------------------------------------
 
@@ -136,39 +133,41 @@ def _run_counts(spark, sf_dir):
 
 @query("kpi_revenue_by_category")
 def _kpi_revenue_by_category(spark, sf_dir):
-    txn, _, prd = cleaned_all(spark, sf_dir)
+    txn, prd = (cleaned(spark, sf_dir, t) for t in ("transactions", "products"))
     return revenue_by_category(txn, prd, RUN_TS)
 
 
 @query("kpi_revenue_by_country")
 def _kpi_revenue_by_country(spark, sf_dir):
-    txn, cli, _ = cleaned_all(spark, sf_dir)
+    txn, cli = (cleaned(spark, sf_dir, t) for t in ("transactions", "clients"))
     return revenue_by_country(txn, cli, RUN_TS)
 
 
 @query("kpi_top_products")
 def _kpi_top_products(spark, sf_dir):
-    txn, _, prd = cleaned_all(spark, sf_dir)
+    txn, prd = (cleaned(spark, sf_dir, t) for t in ("transactions", "products"))
     return top_products(txn, prd, run_ts=RUN_TS)
 
 
 @query("kpi_customer_segments")
 def _kpi_customer_segments(spark, sf_dir):
-    txn, cli, _ = cleaned_all(spark, sf_dir)
+    txn, cli = (cleaned(spark, sf_dir, t) for t in ("transactions", "clients"))
     return customer_segments(txn, cli, RUN_TS)
 
 
 @query("kpi_row_counts")
 def _kpi_counts(spark, sf_dir):
-    txn, cli, prd = cleaned_all(spark, sf_dir)
+    txn, cli, prd = (cleaned(spark, sf_dir, t) for t in TOPICS)
     return kpi_row_counts(compute_all(txn, cli, prd, RUN_TS))
 
 
 def _windowed(name: str) -> Query:
+    by_product = name in ("kpi_revenue_by_category", "kpi_top_products")
+    dimension = "products" if by_product else "clients"
+
     def run(spark, sf_dir):
-        txn, cli, prd = cleaned_all(spark, sf_dir)
-        by_product = name in ("kpi_revenue_by_category", "kpi_top_products")
-        return windowed_kpi(name, txn, prd if by_product else cli, "1 day")
+        txn, dim = (cleaned(spark, sf_dir, t) for t in ("transactions", dimension))
+        return windowed_kpi(name, txn, dim, "1 day")
 
     return run
 

@@ -2,17 +2,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def dedup_latest(rows: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
     """One row per ``key``: the greatest by ``order_by``, then by the other columns.
 
-    The order is total, so the winner does not depend on the input's order. As an
-    aggregate it keeps one candidate per key and task before the shuffle; a key
-    that fills a third of the table reaches its reducer as one row per task.
+    The order is total, so the winner does not depend on the input's order. Asking
+    for the first place only lets Spark drop all but one row per key in every task
+    before the shuffle (a window group limit); a key that fills a third of the table
+    reaches its reducer as one row per task.
     """
-    ranked = [*order_by, *(c for c in rows.columns if c != key and c not in order_by)]
-    best = rows.groupBy(key).agg(F.max(F.struct(*ranked)).alias("best"))
-    return best.select(*(key if c == key else F.col("best")[c].alias(c) for c in rows.columns))
+    rest = [c for c in rows.columns if c != key and c not in order_by]
+    ranking = Window.partitionBy(key).orderBy(*(F.desc(c) for c in [*order_by, *rest]))
+    placed = rows.withColumn("place", F.row_number().over(ranking))
+    return placed.filter(F.col("place") == 1).select(*rows.columns)

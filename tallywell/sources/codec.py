@@ -20,7 +20,7 @@ def decode_messages(messages: DataFrame, schema: T.StructType) -> DataFrame:
     more per tested column. Nothing is pushed through the generator's own output.
     """
     parsed = F.from_json(F.col("value").cast("string"), schema)
-    return messages.select(F.explode(F.array(parsed)).alias("message")).select("message.*")
+    return messages.select(F.inline(F.array(parsed)))
 
 
 def encode_messages(rows: DataFrame, key: str) -> DataFrame:
