@@ -6,6 +6,8 @@ DuckDB's own functions.
 
 from __future__ import annotations
 
+from tallywell.sources import synth
+
 RUN_TS = "TIMESTAMP '2024-06-01 12:00:00'"
 
 
@@ -221,6 +223,161 @@ UNION ALL SELECT 'clients', (SELECT count(*) FROM cli_sent), (SELECT count(*) FR
 UNION ALL SELECT 'products', (SELECT count(*) FROM prd_sent), (SELECT count(*) FROM prd)"""
 
 
+def flat_kpis() -> str:
+    """All four KPIs under one another."""
+    shape = {
+        "kpi_revenue_by_category": ("category", "order_count"),
+        "kpi_revenue_by_country": ("country", "order_count"),
+        "kpi_top_products": ("product_id", "units_sold"),
+        "kpi_customer_segments": ("segment", "order_count"),
+    }
+    parts = []
+    for name, (key, count) in shape.items():
+        by, columns, joined, _ = _KPI_PARTS[name]
+        top = "ORDER BY units_sold DESC, product_id LIMIT 20" if "top" in name else ""
+        parts.append(
+            f"SELECT '{name}' AS kpi, {RUN_TS} AS window_start, {RUN_TS} AS window_end, "
+            f"{key} AS key, total_revenue, {count} AS number "
+            f"FROM (SELECT {columns} FROM {joined} GROUP BY {by} {top})"
+        )
+    return "\nUNION ALL ".join(parts)
+
+
+_STORED = """
+kpi_rows AS (
+  SELECT 'kpis/kpi_revenue_by_category' AS folder, count(*) AS n
+  FROM (SELECT DISTINCT category FROM txn LEFT JOIN prd USING (product_id))
+  UNION ALL SELECT 'kpis/kpi_revenue_by_country', count(*)
+  FROM (SELECT DISTINCT country FROM txn LEFT JOIN cli USING (client_id))
+  UNION ALL SELECT 'kpis/kpi_top_products', least(20, count(DISTINCT product_id)) FROM txn
+  UNION ALL SELECT 'kpis/kpi_customer_segments', count(*)
+  FROM (SELECT DISTINCT segment FROM txn LEFT JOIN cli USING (client_id))),
+clean_rows AS (
+  SELECT 'transactions' AS folder, count(*) AS n FROM txn
+  UNION ALL SELECT 'clients', count(*) FROM cli
+  UNION ALL SELECT 'products', count(*) FROM prd)"""
+
+# --- target rules -------------------------------------------------------------
+
+
+def _violations(table: str, source: str, key: str, rules: list[tuple[str, str, str]]) -> str:
+    parts = [
+        f"SELECT '{table}' AS table_name, '{c}' AS \"column\", '{r}' AS rule, "
+        f"count(*) AS row_count FROM {source} WHERE {test}"
+        for c, r, test in rules
+    ]
+    parts.append(
+        f"SELECT '{table}', '{key}', 'duplicate_key', count(*) - count(DISTINCT {key}) "
+        f"FROM {source} WHERE {key} IS NOT NULL"
+    )
+    return "\nUNION ALL ".join(parts)
+
+
+def target_violations() -> str:
+    """The rules the messages can break; the driver's tables break no other."""
+    fields = [f.strip() for f in TXN_COLUMNS.split(",")]
+    txn = [(f, "null", "broken") for f in fields]
+    txn += [
+        ("currency", "length", "NOT broken AND length(currency) > 3"),
+        ("transaction_time", "type", "NOT broken AND transaction_time = 'garbage'"),
+    ]
+    sent = "(SELECT * REPLACE (CASE WHEN NOT broken THEN transaction_id END AS transaction_id) FROM txn_sent)"
+    parts = [
+        _violations("transactions", sent, "transaction_id", txn),
+        _violations("clients", "cli_sent", "client_id", [("registered_at", "type", "registered_at = ''")]),
+        _violations("products", "prd_sent", "product_id", []),
+        """SELECT 'kpi_revenue_by_category', 'category', 'null', count(*) FROM (
+  SELECT DISTINCT category FROM txn LEFT JOIN prd USING (product_id)) WHERE category IS NULL""",
+    ]
+    union = "\nUNION ALL ".join(parts)
+    return _with(TXN + PRD + [_CLI_SENT], f"SELECT * FROM ({union}) WHERE row_count > 0")
+
+
+# --- synthetic rows -----------------------------------------------------------
+
+
+def _list(values) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+def _noise(n: str, salt: int, seed: int = 0) -> str:
+    p = synth.PRIME
+    shift = (seed * synth.STEP_C + salt * 1_000_003) % p
+    first = f"(({n} % {p} * {synth.STEP_A} + {n} // {p} * {synth.STEP_C} + {shift}) % {p})"
+    return f"(({first} * {first} + {salt}) % {p} * {synth.STEP_B} % {p})"
+
+
+def _between(n: str, salt: int, bounds: tuple[int, int]) -> str:
+    low, high = bounds
+    return f"({_noise(n, salt)} % {high - low + 1} + {low})"
+
+
+def _pick(n: str, salt: int, values) -> str:
+    return f"{_list(values)}[{_noise(n, salt)} % {len(values)} + 1]"
+
+
+def _hex_id(prefix: str, n: str) -> str:
+    return f"'{prefix}' || lpad(lower(to_hex({n})), greatest(8, length(to_hex({n})))::INTEGER, '0')"
+
+
+def _before(seconds: str) -> str:
+    return (
+        f"strftime(TIMESTAMP '2024-06-01 12:00:00' - to_seconds({seconds}), '%Y-%m-%dT%H:%M:%SZ')"
+    )
+
+
+def synth_clients() -> str:
+    n = "c_custkey"
+    countries = tuple(synth.CITIES)
+    place = f"({_noise(n, 4)} % {len(countries)} + 1)"
+    cities = "[" + ", ".join(_list(c) for c in synth.CITIES.values()) + "]"
+    return f"""
+SELECT {_hex_id("CLI-", n)} AS client_id, first_name, last_name,
+  lower(first_name || '.' || last_name || mail) || '@example.com' AS email, country,
+  local[city % len(local) + 1] AS city, age, segment, {_before("days * 86400")} AS registered_at
+FROM (SELECT {n}, {_pick(n, 1, synth.FIRST_NAMES)} AS first_name,
+  {_pick(n, 2, synth.LAST_NAMES)} AS last_name, {_between(n, 3, synth.MAIL_NUMBER)} AS mail,
+  {_list(countries)}[{place}] AS country, {cities}[{place}] AS local, {_noise(n, 5)} AS city,
+  {_between(n, 6, synth.AGES)}::INTEGER AS age, {_pick(n, 7, synth.SEGMENTS)} AS segment,
+  {_between(n, 8, synth.REGISTERED_DAYS)} AS days FROM customer)""".strip()
+
+
+def synth_products() -> str:
+    n = "p_partkey"
+    names = tuple(synth.SUB_CATEGORIES)
+    kind = f"({_noise(n, 1)} % {len(names)} + 1)"
+    subs = "[" + ", ".join(_list(c) for c in synth.SUB_CATEGORIES.values()) + "]"
+    low, high = ([synth.PRICES[c][i] * 100 for c in names] for i in (0, 1))
+    return f"""
+SELECT {_hex_id("PRD-", n)} AS product_id, brand || ' ' || sub_category || ' ' || number AS name,
+  category, sub_category, brand, (low + dear % (high - low + 1)) / 100.0::DOUBLE AS price,
+  weight_kg, rating, stock
+FROM (SELECT {n}, {_list(names)}[{kind}] AS category, {subs}[{kind}][{_noise(n, 2)} % 5 + 1] AS sub_category,
+  {_pick(n, 3, synth.BRANDS)} AS brand, {_between(n, 4, synth.NAME_NUMBER)} AS number,
+  {low}[{kind}] AS low, {high}[{kind}] AS high, {_noise(n, 5)} AS dear,
+  {_between(n, 6, synth.WEIGHT_CENTS)} / 100.0::DOUBLE AS weight_kg,
+  {_between(n, 7, synth.RATING_CENTS)} / 100.0::DOUBLE AS rating,
+  {_between(n, 8, synth.STOCK)}::INTEGER AS stock FROM part)""".strip()
+
+
+def synth_transactions() -> str:
+    n = "n"
+    p = synth.PRIME
+    client = f"(({_noise(n, 1)} * {p} + {_noise(n, 2)}) % (SELECT count(*) FROM customer))"
+    product = f"(({_noise(n, 3)} * {p} + {_noise(n, 4)}) % (SELECT count(*) FROM part))"
+    return f"""
+SELECT {_hex_id("TXN-", n)} AS transaction_id, {_hex_id("CLI-", "client")} AS client_id,
+  {_hex_id("PRD-", "product")} AS product_id, quantity, cents / 100.0::DOUBLE AS unit_price,
+  cents * quantity / 100.0::DOUBLE AS total_amount, currency, payment_method, status,
+  {_before("seconds")} AS transaction_time
+FROM (SELECT n, {client} AS client, {product} AS product,
+  {_between(n, 5, synth.QUANTITY)}::INTEGER AS quantity,
+  {_between(n, 6, synth.UNIT_PRICE_CENTS)} AS cents, {_pick(n, 7, synth.CURRENCIES)} AS currency,
+  {_pick(n, 8, synth.PAYMENT_METHODS)} AS payment_method, {_pick(n, 9, synth.STATUSES)} AS status,
+  {_between(n, 10, synth.RECENT_SECONDS)} AS seconds
+  FROM (SELECT l_orderkey * 10 + l_linenumber AS n FROM lineitem))""".strip()
+
+
 def queries() -> dict[str, str]:
     sql = {
         "src_messages": _with(
@@ -254,4 +411,50 @@ UNION ALL SELECT 'kpi_top_products', least(20, count(DISTINCT product_id)) FROM
 UNION ALL SELECT 'kpi_customer_segments', count(*) FROM (
   SELECT DISTINCT segment FROM txn LEFT JOIN cli USING (client_id))""",
     )
+    sql["parquet_roundtrip"] = clean("transactions")
+    sql["parquet_partition_pruned"] = _with(
+        TXN,
+        """
+SELECT status, count(*) AS order_count, sum(quantity)::BIGINT AS units FROM txn
+WHERE year(transaction_time) = 1998 GROUP BY status""",
+    )
+    money = "CAST(CAST({0} AS DECIMAL(12,2)) AS VARCHAR) AS {0}"
+    shaped = TXN_COLUMNS
+    for column in ("unit_price", "total_amount"):
+        shaped = shaped.replace(column, money.format(column))
+    sql["target_conform"] = _with(TXN, f"SELECT {shaped} FROM txn")
+    sql["target_violations"] = target_violations()
+    sql["orphan_keys"] = _with(
+        TXN + PRD,
+        """
+SELECT product_id, count(*) AS row_count FROM txn
+WHERE product_id NOT IN (SELECT product_id FROM prd) GROUP BY product_id""",
+    )
+    sql["store_clean"] = _with(
+        TXN + CLI + PRD,
+        """
+SELECT 'transactions' AS entity, count(*) AS row_count, min(transaction_id) AS first_id,
+  max(transaction_id) AS last_id FROM txn
+UNION ALL SELECT 'clients', count(*), min(client_id), max(client_id) FROM cli
+UNION ALL SELECT 'products', count(*), min(product_id), max(product_id) FROM prd""",
+    )
+    sql["store_kpis"] = sql["end_to_end"] = _with(TXN + CLI + PRD, flat_kpis())
+    sql["sink_audit"] = _with(
+        TXN + CLI + PRD + [_STORED],
+        """
+SELECT folder, n AS row_count, true AS has_files FROM (
+  SELECT * FROM kpi_rows UNION ALL SELECT * FROM clean_rows UNION ALL SELECT 'pipeline_runs', 1)""",
+    )
+    sql["run_summary"] = _with(
+        TXN + CLI + PRD + [_STORED],
+        """
+SELECT 'SUCCESS' AS status, (SELECT count(*) FROM txn_sent) + (SELECT count(*) FROM cli_sent)
+    + (SELECT count(*) FROM prd_sent) AS records_ingested,
+  (SELECT sum(n)::BIGINT FROM clean_rows) AS records_processed,
+  (SELECT sum(n)::BIGINT FROM clean_rows) + (SELECT sum(n)::BIGINT FROM kpi_rows) AS records_stored,
+  0 AS errors""",
+    )
+    sql["synth_clients"] = synth_clients()
+    sql["synth_products"] = synth_products()
+    sql["synth_transactions"] = synth_transactions()
     return sql

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,9 @@ from pyspark.sql import types as T
 
 from tallywell.operators import (
     ENTITIES,
+    conform_to_target,
+    orphan_keys,
+    target_violations,
     clean_clients,
     clean_products,
     clean_transactions,
@@ -24,12 +28,15 @@ from tallywell.operators import (
     valid_rows,
     windowed_kpi,
 )
+from tallywell.plans import run, store_clean, store_kpis
 from tallywell.schemas import KPI_NAMES, MESSAGE_SCHEMAS, TOPICS
 from tallywell.scratch import scratch_dir
-from tallywell.settings import Source
+from tallywell.settings import Settings, Source
+from tallywell.sinks import by_date, sink_audit, write_parquet
 from tallywell.sources import decode_messages, encode_messages, read_messages, write_messages
+from tallywell.sources.synth import client_rows, product_rows, transaction_rows
 
-from .feeds import feed
+from .feeds import feed, table, topic
 
 Query = Callable[[SparkSession, str], DataFrame]
 RUN_TS = "2024-06-01T12:00:00Z"
@@ -83,18 +90,19 @@ def cleaned(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
 @query("src_messages")
 def _src_messages(spark, sf_dir):
     kinds = {"transactions": "json", "clients": "text", "products": "parquet"}
-    counts = None
-    for topic, kind in kinds.items():
-        source = Source(kind, scratch_dir(spark, f"topic-{topic}"))
-        write_messages(feed(spark, sf_dir, topic), source)
-        found = read_messages(spark, source).agg(
-            F.lit(topic).alias("entity"),
-            F.lit(kind).alias("kind"),
-            F.count("value").alias("messages"),
-            F.count("key").alias("keyed"),
+    counts = []
+    for name, kind in kinds.items():
+        source = Source(kind, scratch_dir(spark, f"topic-{name}"))
+        write_messages(feed(spark, sf_dir, name), source)
+        counts.append(
+            read_messages(spark, source).agg(
+                F.lit(name).alias("entity"),
+                F.lit(kind).alias("kind"),
+                F.count("value").alias("messages"),
+                F.count("key").alias("keyed"),
+            )
         )
-        counts = found if counts is None else counts.unionByName(found)
-    return counts
+    return reduce(DataFrame.unionByName, counts)
 
 
 def _decode(topic: str) -> Query:
@@ -174,3 +182,153 @@ def _windowed(name: str) -> Query:
 
 for _name in KPI_NAMES:
     register(_name.replace("kpi_", "win_"), _windowed(_name))
+
+
+# --- sinks --------------------------------------------------------------------
+
+
+@query("parquet_roundtrip")
+def _parquet_roundtrip(spark, sf_dir):
+    path = scratch_dir(spark, "lake")
+    write_parquet(cleaned(spark, sf_dir, "transactions"), path)
+    return spark.read.parquet(path)
+
+
+@query("parquet_partition_pruned")
+def _parquet_partition_pruned(spark, sf_dir):
+    path = scratch_dir(spark, "lake")
+    dated = by_date(cleaned(spark, sf_dir, "transactions"))
+    write_parquet(dated, path, partition_by="transaction_date")
+    year = F.col("transaction_date").between("1998-01-01", "1998-12-31")
+    return (
+        spark.read.parquet(path)
+        .filter(year)
+        .groupBy("status")
+        .agg(F.count("*").alias("order_count"), F.sum("quantity").alias("units"))
+    )
+
+
+@query("target_conform")
+def _target_conform(spark, sf_dir):
+    shaped = conform_to_target(cleaned(spark, sf_dir, "transactions"), "transactions")
+    # as text, so that scale is compared too
+    return shaped.withColumns({c: F.col(c).cast("string") for c in ("unit_price", "total_amount")})
+
+
+@query("target_violations")
+def _target_violations(spark, sf_dir):
+    found = [
+        target_violations(decode_messages(feed(spark, sf_dir, t), MESSAGE_SCHEMAS[t]), t)
+        for t in TOPICS
+    ]
+    txn, prd = (cleaned(spark, sf_dir, t) for t in ("transactions", "products"))
+    found.append(
+        target_violations(revenue_by_category(txn, prd, RUN_TS), "kpi_revenue_by_category")
+    )
+    return reduce(DataFrame.unionByName, found)
+
+
+@query("orphan_keys")
+def _orphan_keys(spark, sf_dir):
+    txn, prd = (cleaned(spark, sf_dir, t) for t in ("transactions", "products"))
+    return orphan_keys(txn, prd, "product_id")
+
+
+def _flat(kpis: dict[str, DataFrame]) -> DataFrame:
+    """The KPI tables under one another: their key, revenue, and number sold or ordered."""
+    shape = {
+        "kpi_revenue_by_category": ("category", "order_count"),
+        "kpi_revenue_by_country": ("country", "order_count"),
+        "kpi_top_products": ("product_id", "units_sold"),
+        "kpi_customer_segments": ("segment", "order_count"),
+    }
+    parts = [
+        kpis[kpi].select(
+            F.lit(kpi).alias("kpi"),
+            "window_start",
+            "window_end",
+            F.col(key).alias("key"),
+            "total_revenue",
+            F.col(count).alias("number"),
+        )
+        for kpi, (key, count) in shape.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("store_clean")
+def _store_clean(spark, sf_dir):
+    stored = store_clean(
+        {t: cleaned(spark, sf_dir, t) for t in TOPICS}, scratch_dir(spark, "lake")
+    )
+    counts = [
+        df.agg(
+            F.lit(t).alias("entity"),
+            F.count("*").alias("row_count"),
+            F.min(ENTITIES[t].key).alias("first_id"),
+            F.max(ENTITIES[t].key).alias("last_id"),
+        )
+        for t, df in stored.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query("store_kpis")
+def _store_kpis(spark, sf_dir):
+    txn, cli, prd = (cleaned(spark, sf_dir, t) for t in TOPICS)
+    kpis = compute_all(txn, cli, prd, RUN_TS, share=True)
+    return _flat(store_kpis(kpis, scratch_dir(spark, "lake")))
+
+
+def _settings(spark, sf_dir) -> Settings:
+    sources = {t: topic(spark, sf_dir, t) for t in TOPICS}
+    return Settings(sources, scratch_dir(spark, "lake"))
+
+
+@query("sink_audit")
+def _sink_audit(spark, sf_dir):
+    settings = _settings(spark, sf_dir)
+    run(spark, settings, RUN_TS)
+    folder = F.element_at(F.split(F.col("folder"), settings.lake.split("/")[-1] + "/"), -1)
+    # one line per table, whatever its date folders and number of files
+    return (
+        sink_audit(spark, settings.lake)
+        .withColumn("folder", F.regexp_replace(folder, "/transaction_date=.*", ""))
+        .groupBy("folder")
+        .agg(F.sum("rows").alias("row_count"), (F.min("files") > 0).alias("has_files"))
+    )
+
+
+@query("run_summary")
+def _run_summary(spark, sf_dir):
+    summary = run(spark, _settings(spark, sf_dir), RUN_TS).summary
+    return summary.select(
+        "status", "records_ingested", "records_processed", "records_stored", "errors"
+    )
+
+
+@query("end_to_end")
+def _end_to_end(spark, sf_dir):
+    return _flat(run(spark, _settings(spark, sf_dir), RUN_TS).kpis)
+
+
+# --- synthetic rows, one for each row of a table ------------------------------
+
+BASE_TS = "2024-06-01 12:00:00"
+
+
+@query("synth_clients")
+def _synth_clients(spark, sf_dir):
+    return client_rows(table(spark, sf_dir, "customer").selectExpr("c_custkey AS n"), BASE_TS)
+
+
+@query("synth_products")
+def _synth_products(spark, sf_dir):
+    return product_rows(table(spark, sf_dir, "part").selectExpr("p_partkey AS n"))
+
+
+@query("synth_transactions")
+def _synth_transactions(spark, sf_dir):
+    numbers = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey * 10 + l_linenumber AS n")
+    clients, products = (table(spark, sf_dir, t).count() for t in ("customer", "part"))
+    return transaction_rows(numbers, clients, products, BASE_TS)

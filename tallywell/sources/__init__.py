@@ -1,10 +1,14 @@
 from .codec import decode_messages, encode_messages
 from .messages import read_messages, stream_messages, write_messages
+from .synth import synth_clients, synth_products, synth_transactions
 
 __all__ = [
     "decode_messages",
     "encode_messages",
     "read_messages",
     "stream_messages",
+    "synth_clients",
+    "synth_products",
+    "synth_transactions",
     "write_messages",
 ]
