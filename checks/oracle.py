@@ -170,7 +170,7 @@ _KPI_PARTS = {
 }
 
 
-def kpi(name: str, source: str = "txn") -> str:
+def kpi(name: str) -> str:
     """One KPI over the whole table, at a fixed run time."""
     by, columns, joined, dimension = _KPI_PARTS[name]
     body = f"""
@@ -181,20 +181,24 @@ FROM {joined} GROUP BY {by}"""
     return _with(TXN + dimension, body)
 
 
-def windowed(name: str, extra: str = "") -> str:
-    """One KPI per day of transaction time."""
-    by, columns, joined, dimension = _KPI_PARTS[name]
+def daily(name: str) -> str:
+    """One KPI per day of transaction time, over the clean tables."""
+    _, columns, joined, _ = _KPI_PARTS[name]
     body = f"""
 SELECT date_trunc('day', transaction_time)::TIMESTAMP AS window_start,
   date_trunc('day', transaction_time)::TIMESTAMP + INTERVAL 1 DAY AS window_end, {columns}
 FROM {joined} GROUP BY ALL"""
-    if name == "kpi_top_products":
-        body = f"""
+    if name != "kpi_top_products":
+        return body
+    return f"""
 SELECT * EXCLUDE (place) FROM (
   SELECT *, row_number() OVER (PARTITION BY window_start
     ORDER BY units_sold DESC, product_id) AS place FROM ({body}))
 WHERE place <= 20"""
-    return _with(TXN + dimension, body + extra)
+
+
+def windowed(name: str) -> str:
+    return _with(TXN + _KPI_PARTS[name][3], daily(name))
 
 
 def clean(topic: str) -> str:
@@ -378,6 +382,50 @@ FROM (SELECT n, {client} AS client, {product} AS product,
   FROM (SELECT l_orderkey * 10 + l_linenumber AS n FROM lineitem))""".strip()
 
 
+# --- streams ------------------------------------------------------------------
+
+
+def late_rows() -> str:
+    """What is left of the category KPI when late rows behind the watermark are lost.
+
+    The first two thirds of the time span arrive in order. The rest arrives last, and
+    with it the late rows of the whole span; by then the watermark stands thirty
+    days before the latest time seen. A copy check comes first in that query, so a
+    row is lost when its own time is not after the watermark, or its window ended.
+    """
+    _, columns, joined, dimension = _KPI_PARTS["kpi_revenue_by_category"]
+    arrivals = """
+span AS (
+  SELECT min(l_shipdate) AS low, date_diff('day', min(l_shipdate), max(l_shipdate)) // 3 + 1 AS days
+  FROM lineitem),
+arrived AS (
+  SELECT txn.*, CASE WHEN quantity % 7 = 0 THEN 2
+    ELSE date_diff('day', low, transaction_time) // days END AS slice
+  FROM txn, span),
+mark AS (SELECT max(transaction_time) - INTERVAL 30 DAY AS mark FROM arrived WHERE slice < 2),
+kept AS (SELECT arrived.* FROM arrived, mark WHERE slice < 2 OR transaction_time > mark)"""
+    body = f"""
+SELECT date_trunc('day', transaction_time)::TIMESTAMP AS window_start,
+  date_trunc('day', transaction_time)::TIMESTAMP + INTERVAL 1 DAY AS window_end, {columns}
+FROM {joined.replace("txn", "kept")} GROUP BY ALL"""
+    return _with(TXN + dimension + [arrivals], body)
+
+
+def flat_windows() -> str:
+    """All four daily KPIs under one another."""
+    shape = {
+        "kpi_revenue_by_category": ("category", "order_count"),
+        "kpi_revenue_by_country": ("country", "order_count"),
+        "kpi_top_products": ("product_id", "units_sold"),
+        "kpi_customer_segments": ("segment", "order_count"),
+    }
+    return "\nUNION ALL ".join(
+        f"SELECT '{name}' AS kpi, window_start, window_end, {key} AS key, total_revenue, "
+        f"{count} AS number FROM ({daily(name)})"
+        for name, (key, count) in shape.items()
+    )
+
+
 def queries() -> dict[str, str]:
     sql = {
         "src_messages": _with(
@@ -457,4 +505,13 @@ SELECT 'SUCCESS' AS status, (SELECT count(*) FROM txn_sent) + (SELECT count(*) F
     sql["synth_clients"] = synth_clients()
     sql["synth_products"] = synth_products()
     sql["synth_transactions"] = synth_transactions()
+    sql["stream_clean_transactions"] = _with(
+        [_TXN_SENT, _TXN_VALID], f"SELECT {TXN_COLUMNS} FROM txn_valid"
+    )
+    sql["stream_dedup"] = _with(
+        [_TXN_SENT, _TXN_VALID], "SELECT DISTINCT transaction_id FROM txn_valid"
+    )
+    sql["stream_win_revenue_by_category"] = sql["win_revenue_by_category"]
+    sql["stream_late_rows"] = late_rows()
+    sql["stream_foreach_batch"] = _with(TXN + CLI + PRD, flat_windows())
     return sql

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,15 +28,24 @@ from tallywell.operators import (
     valid_rows,
     windowed_kpi,
 )
-from tallywell.plans import run, store_clean, store_kpis
+from tallywell.plans import RunResult, run, store_clean, store_kpis
 from tallywell.schemas import KPI_NAMES, MESSAGE_SCHEMAS, TOPICS
-from tallywell.scratch import scratch_dir
+from tallywell.scratch import materialize, scratch_dir
 from tallywell.settings import Settings, Source
 from tallywell.sinks import by_date, sink_audit, write_parquet
 from tallywell.sources import decode_messages, encode_messages, read_messages, write_messages
 from tallywell.sources.synth import client_rows, product_rows, transaction_rows
+from tallywell.streaming import (
+    current_kpi,
+    latest_updates,
+    stream_clean,
+    stream_dedup,
+    stream_to_sinks,
+    stream_windowed_revenue,
+    write_updates,
+)
 
-from .feeds import feed, table, topic
+from .feeds import feed, table, timed_feed, topic
 
 Query = Callable[[SparkSession, str], DataFrame]
 RUN_TS = "2024-06-01T12:00:00Z"
@@ -280,36 +289,40 @@ def _store_kpis(spark, sf_dir):
     return _flat(store_kpis(kpis, scratch_dir(spark, "lake")))
 
 
-def _settings(spark, sf_dir) -> Settings:
-    sources = {t: topic(spark, sf_dir, t) for t in TOPICS}
-    return Settings(sources, scratch_dir(spark, "lake"))
+_finished: dict[tuple[str, str], tuple[str, RunResult]] = {}
 
 
-@query("sink_audit")
-def _sink_audit(spark, sf_dir):
-    settings = _settings(spark, sf_dir)
-    run(spark, settings, RUN_TS)
-    folder = F.element_at(F.split(F.col("folder"), settings.lake.split("/")[-1] + "/"), -1)
-    # one line per table, whatever its date folders and number of files
-    return (
-        sink_audit(spark, settings.lake)
-        .withColumn("folder", F.regexp_replace(folder, "/transaction_date=.*", ""))
-        .groupBy("folder")
-        .agg(F.sum("rows").alias("row_count"), (F.min("files") > 0).alias("has_files"))
-    )
+def _run_once(spark, sf_dir) -> tuple[str, RunResult]:
+    """A whole run over the topics, shared by the queries that look at its outcome."""
+    known = (spark.sparkContext.applicationId, sf_dir)
+    if known not in _finished:
+        sources = {t: topic(spark, sf_dir, t) for t in TOPICS}
+        lake = scratch_dir(spark, "lake")
+        _finished[known] = lake, run(spark, Settings(sources, lake, by_date=False), RUN_TS)
+    return _finished[known]
+
+
+@query("end_to_end")
+def _end_to_end(spark, sf_dir):
+    return _flat(_run_once(spark, sf_dir)[1].kpis)
 
 
 @query("run_summary")
 def _run_summary(spark, sf_dir):
-    summary = run(spark, _settings(spark, sf_dir), RUN_TS).summary
-    return summary.select(
+    return _run_once(spark, sf_dir)[1].summary.select(
         "status", "records_ingested", "records_processed", "records_stored", "errors"
     )
 
 
-@query("end_to_end")
-def _end_to_end(spark, sf_dir):
-    return _flat(run(spark, _settings(spark, sf_dir), RUN_TS).kpis)
+@query("sink_audit")
+def _sink_audit(spark, sf_dir):
+    lake = _run_once(spark, sf_dir)[0]
+    # the table's path below the lake; how many files it has is up to the cluster
+    return sink_audit(spark, lake).select(
+        F.split_part("folder", F.lit(f"{lake.split('/')[-1]}/"), F.lit(2)).alias("folder"),
+        F.col("rows").alias("row_count"),
+        (F.col("files") > 0).alias("has_files"),
+    )
 
 
 # --- synthetic rows, one for each row of a table ------------------------------
@@ -332,3 +345,119 @@ def _synth_transactions(spark, sf_dir):
     numbers = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey * 10 + l_linenumber AS n")
     clients, products = (table(spark, sf_dir, t).count() for t in ("customer", "part"))
     return transaction_rows(numbers, clients, products, BASE_TS)
+
+
+# --- streams ------------------------------------------------------------------
+
+
+def _drain(rows: DataFrame, spark: SparkSession) -> DataFrame:
+    """Run an append-mode query over all its input and return what it wrote."""
+    path = scratch_dir(spark, "stream")
+    (
+        rows.writeStream.format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", scratch_dir(spark, "checkpoint"))
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def _in_slices(messages: DataFrame, slice_of: Column, slices: int) -> Iterator[Source]:
+    """Publish messages slice by slice into one topic, pausing after each one."""
+    spark = messages.sparkSession
+    staged = scratch_dir(spark, "staged")
+    messages.withColumn("slice", slice_of).write.partitionBy("slice").parquet(staged)
+    source = Source("parquet", scratch_dir(spark, "topic-slices"))
+    for number in range(slices):
+        part = spark.read.parquet(staged).filter(F.col("slice") == number)
+        write_messages(part, source)
+        yield source
+
+
+def _time_slice(spark: SparkSession, sf_dir: str, slices: int) -> Column:
+    """Which of ``slices`` equal parts of the tables' time span a message is from."""
+    low, high = (
+        table(spark, sf_dir, "lineitem")
+        .selectExpr("min(l_shipdate) AS low", "max(l_shipdate) AS high")
+        .first()
+    )
+    days = (high - low).days // slices + 1
+    return F.floor(F.date_diff("event_ts", F.lit(low.date())) / days).cast("int")
+
+
+@query("stream_clean_transactions")
+def _stream_clean_transactions(spark, sf_dir):
+    source = topic(spark, sf_dir, "transactions")
+    return _drain(stream_clean(spark, source, "transactions"), spark)
+
+
+@query("stream_dedup")
+def _stream_dedup(spark, sf_dir):
+    rows = stream_clean(spark, topic(spark, sf_dir, "transactions"), "transactions")
+    # copies in these tables are up to seven years apart
+    first = stream_dedup(rows, "transaction_id", "transaction_time", "2600 days")
+    return _drain(first.select("transaction_id"), spark)
+
+
+def _clean_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean transactions as messages again, with their time."""
+    rows = cleaned(spark, sf_dir, "transactions")
+    options = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ssXXX"}
+    return rows.select(
+        F.col("transaction_id").alias("key"),
+        F.to_json(F.struct("*"), options).alias("value"),
+        F.col("transaction_time").alias("event_ts"),
+    )
+
+
+def _revenue_by_slices(spark, sf_dir, messages, slice_of, slices, delay) -> DataFrame:
+    """The streaming category KPI after all slices, one query run for each slice."""
+    products = materialize(cleaned(spark, sf_dir, "products"), "products")
+    updates, checkpoint = scratch_dir(spark, "updates"), scratch_dir(spark, "checkpoint")
+    for source in _in_slices(messages, slice_of, slices):
+        rows = stream_clean(spark, source, "transactions")
+        first = stream_dedup(rows, "transaction_id", "transaction_time", delay)
+        groups = stream_windowed_revenue("kpi_revenue_by_category", first, products)
+        (
+            groups.writeStream.outputMode("update")
+            .foreachBatch(write_updates(updates))
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+            .awaitTermination()
+        )
+    keys = ["window_start", "window_end", "category"]
+    return latest_updates(spark, updates, groups.schema, keys)
+
+
+@query("stream_win_revenue_by_category")
+def _stream_win_revenue_by_category(spark, sf_dir):
+    slices = 3
+    messages, slice_of = _clean_messages(spark, sf_dir), _time_slice(spark, sf_dir, slices)
+    return _revenue_by_slices(spark, sf_dir, messages, slice_of, slices, "1 day")
+
+
+@query("stream_late_rows")
+def _stream_late_rows(spark, sf_dir):
+    # orders of seven, fourteen ... units come with the last slice, most of them late
+    slices = 3
+    late = F.get_json_object("value", "$.quantity").cast("int") % 7 == 0
+    slice_of = F.when(late, slices - 1).otherwise(_time_slice(spark, sf_dir, slices))
+    messages = _clean_messages(spark, sf_dir)
+    return _revenue_by_slices(spark, sf_dir, messages, slice_of, slices, "30 days")
+
+
+@query("stream_foreach_batch")
+def _stream_foreach_batch(spark, sf_dir):
+    slices = 2
+    clients, products = (
+        materialize(cleaned(spark, sf_dir, t), t) for t in ("clients", "products")
+    )
+    lake, checkpoint = scratch_dir(spark, "lake"), scratch_dir(spark, "checkpoint")
+    messages, slice_of = timed_feed(spark, sf_dir, "transactions"), _time_slice(spark, sf_dir, slices)
+    for source in _in_slices(messages, slice_of, slices):
+        rows = stream_clean(spark, source, "transactions")
+        stream_to_sinks(rows, clients, products, lake, checkpoint).awaitTermination()
+    return _flat({kpi: current_kpi(spark, lake, kpi) for kpi in KPI_NAMES})

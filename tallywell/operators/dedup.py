@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def dedup_latest(rows: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
+def dedup_latest(
+    rows: DataFrame, key: str | Sequence[str], order_by: Sequence[str]
+) -> DataFrame:
     """One row per ``key``: the greatest by ``order_by``, then by the other columns.
 
     The order is total, so the winner does not depend on the input's order. Asking
@@ -14,7 +16,8 @@ def dedup_latest(rows: DataFrame, key: str, order_by: Sequence[str]) -> DataFram
     before the shuffle (a window group limit); a key that fills a third of the table
     reaches its reducer as one row per task.
     """
-    rest = [c for c in rows.columns if c != key and c not in order_by]
-    ranking = Window.partitionBy(key).orderBy(*(F.desc(c) for c in [*order_by, *rest]))
+    keys = [key] if isinstance(key, str) else list(key)
+    rest = [c for c in rows.columns if c not in keys and c not in order_by]
+    ranking = Window.partitionBy(*keys).orderBy(*(F.desc(c) for c in [*order_by, *rest]))
     placed = rows.withColumn("place", F.row_number().over(ranking))
     return placed.filter(F.col("place") == 1).select(*rows.columns)

@@ -1,4 +1,5 @@
 from .run import RunResult, run, run_summary
 from .store import store_clean, store_kpis
+from .stream import start_stream
 
-__all__ = ["RunResult", "run", "run_summary", "store_clean", "store_kpis"]
+__all__ = ["RunResult", "run", "run_summary", "start_stream", "store_clean", "store_kpis"]

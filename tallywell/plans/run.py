@@ -102,7 +102,7 @@ def run(
         ingested = sum(df.count() for df in raw.values())
 
         frames = {topic: CLEANERS[topic](raw[topic]) for topic in TOPICS}
-        clean = store_clean(frames, settings.lake, settings.jdbc)
+        clean = store_clean(frames, settings.lake, settings.jdbc, settings.by_date)
         processed = sum(df.count() for df in clean.values())
 
         kpis = compute_all(

@@ -25,15 +25,18 @@ def _store(df, path, table, jdbc, partition_by=None) -> DataFrame:
 
 
 def store_clean(
-    frames: Mapping[str, DataFrame], lake: str, jdbc: JdbcTarget | None = None
+    frames: Mapping[str, DataFrame],
+    lake: str,
+    jdbc: JdbcTarget | None = None,
+    dated_lake: bool = False,
 ) -> dict[str, DataFrame]:
     """Store the clean tables under their topic names; returns the stored copies.
 
-    Transactions are partitioned by date.
+    ``dated_lake`` partitions the transactions by date.
     """
     stored = {}
     for topic, df in frames.items():
-        dated = topic == "transactions"
+        dated = dated_lake and topic == "transactions"
         stored[topic] = _store(
             by_date(df) if dated else df, f"{lake}/{topic}", topic, jdbc, DATE if dated else None
         )

@@ -46,7 +46,11 @@ class JdbcTarget:
 
 @dataclass(frozen=True)
 class Settings:
-    """A whole run: three sources, the lake, and (if given) the database."""
+    """A whole run: three sources, the lake, and (if given) the database.
+
+    ``by_date`` partitions the lake's transactions by date. ``trigger``, ``window``,
+    ``horizon`` and ``checkpoint`` are for streams.
+    """
 
     sources: Mapping[str, Source]
     lake: str
@@ -54,8 +58,9 @@ class Settings:
     checkpoint: str | None = None
     trigger: str = "10 seconds"
     window: str = "1 day"
-    watermark: str = "1 day"
+    horizon: str | None = None
     top: int = 20
+    by_date: bool = True
 
     def __post_init__(self):
         missing = [t for t in TOPICS if t not in self.sources]
