@@ -207,7 +207,14 @@ def _parquet_roundtrip(spark, sf_dir):
 def _parquet_partition_pruned(spark, sf_dir):
     path = scratch_dir(spark, "lake")
     dated = by_date(cleaned(spark, sf_dir, "transactions"))
-    write_parquet(dated, path, partition_by="transaction_date")
+    # a small table with thousands of dates is a few bytes and many files: let every
+    # core write some, where Spark would leave so few bytes to one
+    least = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    spark.conf.set(least, "16KB")
+    try:
+        write_parquet(dated, path, partition_by="transaction_date")
+    finally:
+        spark.conf.unset(least)
     year = F.col("transaction_date").between("1998-01-01", "1998-12-31")
     return (
         spark.read.parquet(path)
