@@ -291,7 +291,7 @@ def _store_clean(spark, sf_dir):
 
 @query("store_kpis")
 def _store_kpis(spark, sf_dir):
-    txn, cli, prd = (cleaned(spark, sf_dir, t) for t in TOPICS)
+    txn, cli, prd = (materialize(cleaned(spark, sf_dir, t), t) for t in TOPICS)
     kpis = compute_all(txn, cli, prd, RUN_TS, share=True)
     return _flat(store_kpis(kpis, scratch_dir(spark, "lake")))
 

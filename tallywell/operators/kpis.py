@@ -143,19 +143,24 @@ def _top(totals, products, limit, at, orphans):
     """Rank first, then look up names for the few winners only.
 
     The limit gives the winners a size Spark knows when it plans, so it broadcasts
-    them and scans the products without shuffling those. Dropping orphans has to
-    come before ranking and so joins first.
+    them and scans the products without shuffling those. As it can broadcast no
+    outer side, names are joined inner and the winners added once more without a
+    name; both uses read the same exchange. Dropping orphans has to come before
+    ranking and so joins first.
     """
     ranking = [F.desc("units"), F.asc("product_id")]
     names = products.select("product_id", F.col("name").alias("product_name"))
     if orphans == "drop":
         named = resolve_orphans(totals.join(names, "product_id", "left"), "product_name", orphans)
-        top = named.orderBy(*ranking).limit(limit)
-    else:
-        top = totals.orderBy(*ranking).limit(limit)
-        names = names.join(top.select("product_id"), "product_id", "left_semi")
-        top = resolve_orphans(top.join(names, "product_id", "left"), "product_name", orphans)
-    return shape_top(top.orderBy(*ranking), at, at)
+        return shape_top(named.orderBy(*ranking).limit(limit), at, at)
+    top = totals.orderBy(*ranking).limit(limit)
+    named = (
+        names.join(top, "product_id")
+        .unionByName(top, allowMissingColumns=True)
+        .groupBy(*top.columns)
+        .agg(F.max("product_name").alias("product_name"))
+    )
+    return shape_top(resolve_orphans(named, "product_name", orphans).orderBy(*ranking), at, at)
 
 
 # --- public operators ---------------------------------------------------------

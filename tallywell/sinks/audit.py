@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -11,19 +11,14 @@ def sink_audit(spark: SparkSession, path: str) -> DataFrame:
     schema with no column of the files leaves nothing else to read, and lets folders
     of different schemas be counted together.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(path)
-        .select("path", "length")
+    # the same hidden column on both sides, so that paths are spelled alike
+    file = F.col("_metadata.file_path").alias("path")
+    files = _below(spark.read.format("binaryFile"), path).select(
+        file, F.col("_metadata.file_size").alias("length")
     )
     rows = (
-        spark.read.schema("no_such_column string")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .parquet(path)
-        .groupBy(F.col("_metadata.file_path").alias("path"))
+        _below(spark.read.format("parquet").schema("no_such_column string"), path)
+        .groupBy(file)
         .agg(F.count("*").alias("rows"))
     )
     folder = F.regexp_replace("path", "/[^/]*$", "")
@@ -36,3 +31,8 @@ def sink_audit(spark: SparkSession, path: str) -> DataFrame:
             F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
         )
     )
+
+
+def _below(reader: DataFrameReader, path: str) -> DataFrame:
+    options = {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
+    return reader.options(**options).load(path)

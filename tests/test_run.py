@@ -1,9 +1,11 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tallywell.__main__ import main
 from tallywell.operators import clean_transactions
 from tallywell.plans import run, start_stream
 from tallywell.schemas import KPI_NAMES, TOPICS
+from tallywell.session import recommended_conf
 from tallywell.settings import Settings, Source
 from tallywell.sources import (
     encode_messages,
@@ -79,3 +81,20 @@ def test_streaming_run_equals_batch(spark, sources, tmp_path):
     got = got.groupBy(F.to_date("window_start").alias("day")).agg(F.sum("order_count"))
     assert dict(map(tuple, got.collect())) == dict(map(tuple, want.collect()))
     assert (tmp_path / "stream" / "products").is_dir()
+
+
+def test_command_line(spark, tmp_path, capsys, monkeypatch):
+    monkeypatch.delenv("POSTGRES_PASSWORD", raising=False)
+    places = ["--topics", str(tmp_path / "topics"), "--lake", str(tmp_path / "lake")]
+    main(["--mode", "demo", "--transactions", "80", "--clients", "9", "--products", "7", *places])
+    assert "SUCCESS" in capsys.readouterr().out
+    assert spark.read.parquet(str(tmp_path / "lake" / "transactions")).count() == 80
+    main(["--mode", "stream", "--until-empty", *places])
+    sold = current_kpi(spark, str(tmp_path / "lake"), "kpi_revenue_by_category")
+    assert sold.agg(F.sum("order_count")).first()[0] == 80
+
+
+def test_partitions_grow_with_the_input():
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert recommended_conf(10**6)[key] == "200"
+    assert int(recommended_conf(100 * 10**12)[key]) > 300_000

@@ -1,4 +1,5 @@
 from datetime import date
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import functions as F
@@ -152,10 +153,11 @@ def test_each_kpi_is_evaluated_once(spark, tmp_path, writes):
 
 def test_audit(spark, tmp_path):
     write_parquet(spark.range(10).repartition(3), str(tmp_path / "lake" / "a"))
-    write_parquet(spark.range(7).selectExpr("string(id) AS s"), str(tmp_path / "lake" / "b" / "c"))
+    write_parquet(spark.range(7).selectExpr("string(id) AS s"), str(tmp_path / "lake" / "b b" / "c=1"))
     write_parquet(spark.range(0), str(tmp_path / "lake" / "none"))
-    got = {r.folder.split("/lake/")[1]: r for r in sink_audit(spark, str(tmp_path / "lake")).collect()}
-    assert {k: r.rows for k, r in got.items()} == {"a": 10, "b/c": 7, "none": 0}
+    rows = sink_audit(spark, str(tmp_path / "lake")).collect()
+    got = {unquote(r.folder.split("/lake/")[1]): r for r in rows}
+    assert {k: r.rows for k, r in got.items()} == {"a": 10, "b b/c=1": 7, "none": 0}
     assert got["a"].files == 3
     assert got["a"].bytes == sum(f.stat().st_size for f in (tmp_path / "lake/a").glob("*.parquet"))
 
