@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.clean import valid_rows
 from ..settings import Source
@@ -12,11 +13,25 @@ def stream_clean(spark: SparkSession, source: Source, topic: str) -> DataFrame:
     return valid_rows(stream_messages(spark, source), topic)
 
 
-def stream_dedup(rows: DataFrame, key: str, time: str, delay: str) -> DataFrame:
+def stream_dedup(
+    rows: DataFrame, key: str, time: str, delay: str, salts: int = 8
+) -> DataFrame:
     """The first arrival of each id among copies at most ``delay`` apart.
 
     State is kept for ``delay`` only. Unlike in batch, which keeps the latest copy, a
     later copy cannot take back a row already emitted; copies that differ need
     :func:`~tallywell.streaming.sinks.stream_to_sinks`.
+
+    A stream cannot drop copies before the shuffle. So that an id with very many of
+    them does not end up in one task, copies are first dropped within ``salts`` parts
+    of the input and only the rest by id alone. With ``1`` that step and its state
+    are saved.
     """
-    return rows.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
+    marked = rows.withWatermark(time, delay)
+    if salts > 1:
+        marked = (
+            marked.withColumn("salt", F.spark_partition_id() % salts)
+            .dropDuplicatesWithinWatermark([key, "salt"])
+            .drop("salt")
+        )
+    return marked.dropDuplicatesWithinWatermark([key])

@@ -23,6 +23,7 @@ def stream_windowed_revenue(
     width: str = "1 day",
     delay: str | None = None,
     orphans: str = "keep",
+    salts: int = 8,
 ) -> DataFrame:
     """A KPI table as a streaming aggregate over windows of ``width``.
 
@@ -32,6 +33,10 @@ def stream_windowed_revenue(
     state, so ``unique_clients`` is approximate here; top products need a ranking over
     all products of a window and are left to
     :func:`~tallywell.streaming.sinks.stream_to_sinks`.
+
+    A stream cannot be summed before its join either. Where the dimension is too large
+    to be broadcast, rows of one key are spread over ``salts`` tasks, each with a copy
+    of the dimension's row.
     """
     if kpi not in _SHAPES:
         raise ValueError(f"no streaming form of {kpi!r}, only of {', '.join(_SHAPES)}")
@@ -46,7 +51,12 @@ def stream_windowed_revenue(
     ]
     if key == "client_id":
         measures.append(F.approx_count_distinct(key).alias("unique_clients"))
-    joined = transactions.join(dimension.select(key, attribute), key, "left")
+    on, dimension = [key], dimension.select(key, attribute)
+    if salts > 1:
+        on = [key, "salt"]
+        transactions = transactions.withColumn("salt", F.spark_partition_id() % salts)
+        dimension = dimension.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    joined = transactions.join(dimension, on, "left")
     groups = (
         resolve_orphans(joined, attribute, orphans)
         .groupBy(F.window("transaction_time", width).alias("period"), attribute)

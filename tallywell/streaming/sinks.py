@@ -1,7 +1,7 @@
 """Micro-batches of transactions to the lake and the database.
 
-The lake holds every valid row under the batch that brought it. Of the rows with one
-id the latest by event time counts, as in batch, so a batch may take an earlier row
+The lake holds the valid rows, the latest for each id, under the batch that brought
+them. Of all rows with one id the latest by event time counts, as in batch, so a batch may take an earlier row
 out of its window. Each batch therefore recomputes the windows that hold any row
 with one of its ids, from the lake and with the batch operators: exact distinct
 clients and top products included. A KPI's current table is, for each window, what
@@ -76,7 +76,8 @@ def stream_to_sinks(
 
     def store(rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
-        batch = write_batch(rows, _rows_path(lake), batch_id)
+        # one row per id and batch: a hot id adds no more than that to the log
+        batch = write_batch(dedup_latest(rows, _ID, _ORDER), _rows_path(lake), batch_id)
         start = F.window("transaction_time", width)["start"].alias("window_start")
 
         log = read_batches(spark, _rows_path(lake), schema)

@@ -192,3 +192,23 @@ def test_a_batch_run_again_changes_nothing(spark, tmp_path, dimensions):
     drain(spark, topic, dimensions, tmp_path)
     assert_equals_batch(spark, topic, dimensions, tmp_path, schema)
     assert json.loads((tmp_path / "checkpoint" / "metadata").read_text())["id"]
+
+
+@pytest.mark.parametrize("salts", [1, 3])
+def test_copies_are_dropped_across_partitions_and_batches(spark, tmp_path, salts):
+    topic = Topic(tmp_path, maxFilesPerTrigger="2")
+    for i in range(4):
+        topic.publish(*(sale("hot", "P1", f"00:{i}{j}", 1.0) for j in range(5)), sale(f"t{i}", "P1", "00:30", 1.0))
+    rows = stream_clean(spark, topic.source, "transactions")
+    (
+        stream_dedup(rows, "transaction_id", "transaction_time", "2 hours", salts)
+        .writeStream.format("parquet")
+        .option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "checkpoint"))
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert "salt" not in got.columns
+    assert sorted(r.transaction_id for r in got.collect()) == ["hot", "t0", "t1", "t2", "t3"]
