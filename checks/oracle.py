@@ -500,7 +500,7 @@ SELECT 'SUCCESS' AS status, (SELECT count(*) FROM txn_sent) + (SELECT count(*) F
     + (SELECT count(*) FROM prd_sent) AS records_ingested,
   (SELECT sum(n)::BIGINT FROM clean_rows) AS records_processed,
   (SELECT sum(n)::BIGINT FROM clean_rows) + (SELECT sum(n)::BIGINT FROM kpi_rows) AS records_stored,
-  0 AS errors""",
+  0::BIGINT AS errors""",
     )
     sql["synth_clients"] = synth_clients()
     sql["synth_products"] = synth_products()

@@ -292,7 +292,7 @@ def _store_clean(spark, sf_dir):
 @query("store_kpis")
 def _store_kpis(spark, sf_dir):
     txn, cli, prd = (materialize(cleaned(spark, sf_dir, t), t) for t in TOPICS)
-    kpis = compute_all(txn, cli, prd, RUN_TS, share=True)
+    kpis = compute_all(txn, cli, prd, RUN_TS, share=scratch_dir(spark, "totals"))
     return _flat(store_kpis(kpis, scratch_dir(spark, "lake")))
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import as_timestamp, average, exact_amount, inexact_amount, revenue
 from ..schemas import KPI_NAMES
-from ..scratch import materialize
+from ..scratch import store_at
 
 ORPHAN_LABEL = "Unknown"
 PERIOD = ("window_start", "window_end")
@@ -214,19 +214,19 @@ def compute_all(
     run_ts: datetime | str | None = None,
     limit: int = 20,
     orphans: str = "keep",
-    share: bool = False,
+    share: str | None = None,
 ) -> dict[str, DataFrame]:
     """All four KPIs by table name, with one and the same run time.
 
     Category and top products derive from one set of product totals, the other two
-    from one set of client totals. ``share`` writes those totals to scratch first, for
-    callers that run the KPIs as separate jobs.
+    from one set of client totals. ``share`` names a folder these totals are written to
+    first, for callers that run the KPIs as separate jobs.
     """
     at = as_timestamp(run_ts)
     by_product, by_client = product_totals(transactions), client_totals(transactions)
-    if share:
-        by_product = materialize(by_product, "product-totals")
-        by_client = materialize(by_client, "client-totals")
+    if share is not None:
+        by_product = store_at(by_product, f"{share}/products")
+        by_client = store_at(by_client, f"{share}/clients")
     return {
         "kpi_revenue_by_category": _category(by_product, products, at, orphans),
         "kpi_revenue_by_country": _country(by_client, clients, at, orphans),

@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import clean_clients, clean_products, clean_transactions
+from ..operators.conform import conform_to_target
 from ..operators.kpis import compute_all
 from ..schemas import KPI_NAMES, TARGETS, TOPICS
+from ..scratch import store_at
 from ..settings import Settings
-from ..sinks.jdbc import storable, write_jdbc
+from ..sinks.jdbc import write_jdbc
 from ..sinks.lake import write_parquet
 from ..sources.messages import read_messages
 from .store import store_clean, store_kpis
@@ -58,7 +60,7 @@ def run_summary(
     row = (run_id, started.isoformat(), ended.isoformat(), status,
            ingested, processed, stored, errors, notes)
     fields = TARGETS["pipeline_runs"].written
-    # counts of a large run exceed INT; the database's copy is narrowed at its sink
+    # counts of a large run exceed INT
     wide = {"int": "bigint"}
     values = [
         F.lit(value).cast(wide.get(f.type, f.type)).alias(f.name) for f, value in zip(fields, row)
@@ -66,20 +68,19 @@ def run_summary(
     return spark.range(1).select(*values)
 
 
-def land(spark: SparkSession, settings: Settings, run_id: str) -> dict[str, DataFrame]:
+def land(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
     """The messages of all topics as one fixed snapshot.
 
-    A topic moves on between actions, so it is written down once and counted and
-    cleaned from there. A Parquet folder's listing is fixed when it is opened.
+    A topic moves on between actions, so it is written down once, in place of the
+    last run's snapshot, and counted and cleaned from there. A Parquet folder's
+    listing is fixed when it is opened.
     """
     raw = {}
     for topic in TOPICS:
         source = settings.sources[topic]
         messages = read_messages(spark, source)
         if source.kind != "parquet":
-            path = f"{settings.lake}/raw/{topic}/{run_id}"
-            write_parquet(messages, path)
-            messages = spark.read.schema(messages.schema).parquet(path)
+            messages = store_at(messages, f"{settings.lake}/_raw/{topic}")
         raw[topic] = messages
     return raw
 
@@ -98,7 +99,7 @@ def run(
     started = _now()
     ingested = processed = stored = 0
     try:
-        raw = land(spark, settings, run_id)
+        raw = land(spark, settings)
         ingested = sum(df.count() for df in raw.values())
 
         frames = {topic: CLEANERS[topic](raw[topic]) for topic in TOPICS}
@@ -109,7 +110,7 @@ def run(
             *(clean[t] for t in TOPICS),
             run_ts=run_ts or started,
             limit=settings.top,
-            share=True,
+            share=f"{settings.lake}/_totals",
         )
         kpis = store_kpis(kpis, settings.lake, settings.jdbc)
         stored = processed + sum(kpis[name].count() for name in KPI_NAMES)
@@ -131,7 +132,9 @@ def run(
 def _log(summary: DataFrame, settings: Settings) -> None:
     write_parquet(summary, f"{settings.lake}/pipeline_runs", mode="append")
     if settings.jdbc is not None:
-        write_jdbc(storable(summary, "pipeline_runs"), "pipeline_runs", settings.jdbc)
+        # not strict: a count beyond INT is left out there rather than fail the run
+        row = conform_to_target(summary, "pipeline_runs")
+        write_jdbc(row, "pipeline_runs", settings.jdbc)
 
 
 def _now() -> datetime:

@@ -27,9 +27,12 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def store_at(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to a folder, in place of what it held, and go on from that copy."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and go on from the written copy."""
-    spark = df.sparkSession
-    path = scratch_dir(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """Write ``df`` to a scratch folder and go on from that copy."""
+    return store_at(df, scratch_dir(df.sparkSession, label))

@@ -19,7 +19,7 @@ from ..operators.clean import ENTITIES
 from ..operators.dedup import dedup_latest
 from ..operators.windows import windowed_kpi
 from ..schemas import KPI_NAMES, TARGETS
-from ..scratch import materialize
+from ..scratch import store_at
 from ..settings import JdbcTarget
 from ..sinks.jdbc import storable, write_jdbc
 from .log import BATCH, read_batches, write_batch
@@ -90,7 +90,8 @@ def stream_to_sinks(
         placed = log.select("*", start)
         ids = placed.join(touched, "window_start", "left_semi").select(_ID).distinct()
         current = dedup_latest(placed.join(ids, _ID, "left_semi"), _ID, _ORDER)
-        current = materialize(current.join(touched, "window_start", "left_semi"), "windows")
+        # batches come one after another and take turns in one folder
+        current = store_at(current.join(touched, "window_start", "left_semi"), f"{lake}/_windows")
         for kpi, dimension in dimensions.items():
             result = windowed_kpi(kpi, current, dimension, width, limit)
             write_batch(result, _kpi_path(lake, kpi), batch_id)

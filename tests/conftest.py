@@ -3,21 +3,54 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql.readwriter import DataFrameWriter
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from checks.session import local_session  # noqa: E402
+from tallywell.settings import JdbcTarget  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = local_session(
-        4, 4, spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints"))
+        4,
+        2,
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")),
+        # on so few rows compiling takes longer than running
+        spark__sql__codegen__wholeStage="false",
     )
     yield session
     session.stop()
 
 
+TARGET = JdbcTarget("jdbc:postgresql://db/shop", "me", "secret", batch_rows=500, connections=4)
+
+
+@pytest.fixture
+def writes(monkeypatch):
+    """JDBC writes as told to Spark's writer; nothing is sent, there is no database."""
+    made = []
+
+    def note(name):
+        original = getattr(DataFrameWriter, name)
+
+        def noted(self, *args):
+            self.__dict__.setdefault("told", {})[args if name == "mode" else args[0]] = args[-1]
+            return original(self, *args)
+
+        return noted
+
+    def jdbc(self, url, table, mode=None, properties=None):
+        made.append({"url": url, "table": table, "told": self.told, "properties": properties,
+                     "rows": self._df.collect(), "types": dict(self._df.dtypes)})
+
+    monkeypatch.setattr(DataFrameWriter, "mode", note("mode"))
+    monkeypatch.setattr(DataFrameWriter, "option", note("option"))
+    monkeypatch.setattr(DataFrameWriter, "jdbc", jdbc)
+    return made
+
+
 TRANSACTION = {
     "transaction_id": "T", "client_id": "C", "product_id": "P", "quantity": 3,
     "unit_price": 1.5, "total_amount": 9.99, "currency": " usd ",

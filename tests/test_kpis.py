@@ -155,8 +155,8 @@ def test_one_run_time_for_all(frames):
     assert stamps == again
 
 
-def test_shared_totals_change_nothing(frames):
-    alone, shared = compute_all(*frames, AT), compute_all(*frames, AT, share=True)
+def test_shared_totals_change_nothing(frames, tmp_path):
+    alone, shared = compute_all(*frames, AT), compute_all(*frames, AT, share=str(tmp_path))
     for name in KPI_NAMES:
         assert sorted(alone[name].collect(), key=str) == sorted(shared[name].collect(), key=str)
     counts = {r.kpi: r.row_count for r in kpi_row_counts(alone).collect()}

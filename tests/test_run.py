@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from tallywell.__main__ import main
 from tallywell.operators import clean_transactions
 from tallywell.plans import run, start_stream
-from tallywell.schemas import KPI_NAMES, TOPICS
+from tallywell.schemas import KPI_NAMES, TARGETS, TOPICS
 from tallywell.session import recommended_conf
 from tallywell.settings import Settings, Source
 from tallywell.sources import (
@@ -17,6 +17,8 @@ from tallywell.sources import (
 )
 from tallywell.streaming import current_kpi
 
+from .conftest import TARGET
+
 BASE = "2024-06-01 12:00:00"
 
 
@@ -63,6 +65,16 @@ def test_batch_run(spark, sources, tmp_path):
     assert {r.run_id for r in log.collect()} == {"first", "second"}
 
 
+def test_all_target_tables_are_filled(spark, sources, tmp_path, writes):
+    run(spark, Settings(sources, str(tmp_path), jdbc=TARGET, by_date=False))
+    modes = {w["table"]: "overwrite" if ("overwrite",) in w["told"] else "append" for w in writes}
+    assert modes == {t: "append" if t == "pipeline_runs" else "overwrite" for t in TARGETS}
+    for written in writes:
+        assert list(written["types"]) == [f.name for f in TARGETS[written["table"]].written]
+    (category,) = (w for w in writes if w["table"] == "kpi_revenue_by_category")
+    assert "Unknown" in {r.category for r in category["rows"]}
+
+
 def test_failed_run_is_logged(spark, sources, tmp_path):
     missing = {**sources, "products": Source("text", str(tmp_path / "nowhere"))}
     with pytest.raises(Exception, match="nowhere"):
@@ -72,8 +84,8 @@ def test_failed_run_is_logged(spark, sources, tmp_path):
     assert row.notes
 
 
-def test_streaming_run_equals_batch(spark, sources, tmp_path):
-    settings = Settings(sources, str(tmp_path / "stream"), window="1 day")
+def test_streaming_run_equals_batch(spark, sources, tmp_path, writes):
+    settings = Settings(sources, str(tmp_path / "stream"), jdbc=TARGET, window="1 day")
     start_stream(spark, settings, until_empty=True).awaitTermination()
     txn = clean_transactions(read_messages(spark, sources["transactions"]))
     want = txn.groupBy(F.to_date("transaction_time").alias("day")).count()
@@ -81,6 +93,7 @@ def test_streaming_run_equals_batch(spark, sources, tmp_path):
     got = got.groupBy(F.to_date("window_start").alias("day")).agg(F.sum("order_count"))
     assert dict(map(tuple, got.collect())) == dict(map(tuple, want.collect()))
     assert (tmp_path / "stream" / "products").is_dir()
+    assert {w["table"] for w in writes} == {"clients", "products", *KPI_NAMES}
 
 
 def test_command_line(spark, tmp_path, capsys, monkeypatch):

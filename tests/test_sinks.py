@@ -3,40 +3,12 @@ from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.readwriter import DataFrameWriter
 
 from tallywell.plans import store_clean, store_kpis
 from tallywell.scratch import materialize, scratch_dir
-from tallywell.settings import JdbcTarget
 from tallywell.sinks import by_date, sink_audit, write_jdbc, write_parquet
 
-from .conftest import plan
-
-TARGET = JdbcTarget("jdbc:postgresql://db/shop", "me", "secret", batch_rows=500, connections=4)
-
-
-@pytest.fixture
-def writes(monkeypatch):
-    """JDBC writes as told to Spark's writer; nothing is sent, there is no database."""
-    made = []
-
-    def note(name):
-        original = getattr(DataFrameWriter, name)
-
-        def noted(self, *args):
-            self.__dict__.setdefault("told", {})[args if name == "mode" else args[0]] = args[-1]
-            return original(self, *args)
-
-        return noted
-
-    def jdbc(self, url, table, mode=None, properties=None):
-        made.append({"url": url, "table": table, "told": self.told, "properties": properties,
-                     "rows": self._df.collect(), "types": dict(self._df.dtypes)})
-
-    monkeypatch.setattr(DataFrameWriter, "mode", note("mode"))
-    monkeypatch.setattr(DataFrameWriter, "option", note("option"))
-    monkeypatch.setattr(DataFrameWriter, "jdbc", jdbc)
-    return made
+from .conftest import TARGET, plan
 
 
 def sales(spark):
