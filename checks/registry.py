@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -81,6 +82,25 @@ def query(name: str) -> Callable[[Query], Query]:
     return add
 
 
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def _state_per_core(spark: SparkSession):
+    """Streaming state is never merged like batch partitions: one part for each core."""
+    cores = spark.sparkContext.defaultParallelism
+    return _setting(spark, "spark.sql.shuffle.partitions", str(cores))
+
+
 CLEANERS = {
     "transactions": clean_transactions,
     "clients": clean_clients,
@@ -209,12 +229,8 @@ def _parquet_partition_pruned(spark, sf_dir):
     dated = by_date(cleaned(spark, sf_dir, "transactions"))
     # a small table with thousands of dates is a few bytes and many files: let every
     # core write some, where Spark would leave so few bytes to one
-    least = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
-    spark.conf.set(least, "16KB")
-    try:
+    with _setting(spark, "spark.sql.adaptive.coalescePartitions.minPartitionSize", "16KB"):
         write_parquet(dated, path, partition_by="transaction_date")
-    finally:
-        spark.conf.unset(least)
     year = F.col("transaction_date").between("1998-01-01", "1998-12-31")
     return (
         spark.read.parquet(path)
@@ -360,14 +376,14 @@ def _synth_transactions(spark, sf_dir):
 def _drain(rows: DataFrame, spark: SparkSession) -> DataFrame:
     """Run an append-mode query over all its input and return what it wrote."""
     path = scratch_dir(spark, "stream")
-    (
+    writer = (
         rows.writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", scratch_dir(spark, "checkpoint"))
         .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
     )
+    with _state_per_core(spark):
+        writer.start().awaitTermination()
     return spark.read.schema(rows.schema).parquet(path)
 
 
@@ -427,14 +443,14 @@ def _revenue_by_slices(spark, sf_dir, messages, slice_of, slices, delay) -> Data
         rows = stream_clean(spark, source, "transactions")
         first = stream_dedup(rows, "transaction_id", "transaction_time", delay)
         groups = stream_windowed_revenue("kpi_revenue_by_category", first, products)
-        (
+        writer = (
             groups.writeStream.outputMode("update")
             .foreachBatch(write_updates(updates))
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
-            .start()
-            .awaitTermination()
         )
+        with _state_per_core(spark):
+            writer.start().awaitTermination()
     keys = ["window_start", "window_end", "category"]
     return latest_updates(spark, updates, groups.schema, keys)
 
