@@ -70,6 +70,7 @@ class Settings:
     @classmethod
     def from_env(cls, env: Mapping[str, str], lake: str, **changes) -> Settings:
         """Kafka topics and PostgreSQL named by the usual environment variables."""
+        # fixed values: names and defaults of the variables
         servers = env.get("KAFKA_BOOTSTRAP", "localhost:9092")
         jdbc = None
         if "POSTGRES_PASSWORD" in env:
