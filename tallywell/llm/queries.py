@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, held_bucket
+from .langid import fit, predict
 from .line_dedup import drop_site_lines
 from .mixing import mix_sources
 from .packing import pack
 from .quality import quality
+from .secrets import scan_secrets, span_text
 from .sharding import shard_slots
 from .simhash import simhash_components
+from .sketch import fingerprint_edits
 
 Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = 24
@@ -33,6 +36,16 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).withColumn("held_out", held_bucket(F.col("doc_id"), 4) == 2)
+    model = fit(docs.filter(~F.col("held_out")))
+    return predict(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(documents(spark, sf_dir))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -52,10 +65,26 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(documents(spark, sf_dir))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(documents(spark, sf_dir))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("found", lambda m: m["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("found", lambda m: m["place"] < 3)
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("found")).alias("spans"),
+    )
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), tokenizer_path())
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_sharding, op5_quality, op6_mixing, op7_line_dedup, op8_simhash, op10_packing)
-}
+    f.__name__: f
+    for f in (
+        op1_sharding, op2_langid, op3_fingerprints, op5_quality, op6_mixing, op7_line_dedup, op8_simhash, op9_secrets, op10_packing,
+    )
+}
