@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .common import documents, held_bucket
 from .langid import fit, predict
 from .line_dedup import drop_site_lines
+from .lm import score_texts
 from .mixing import mix_sources
 from .packing import pack
 from .quality import quality
@@ -46,6 +47,11 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(documents(spark, sf_dir))
 
 
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).withColumn("learn", held_bucket(F.col("doc_id"), 10) != 0)
+    return score_texts(docs, "learn").withColumn("held_out", ~F.col("learn")).drop("learn")
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -85,6 +91,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_sharding, op2_langid, op3_fingerprints, op5_quality, op6_mixing, op7_line_dedup, op8_simhash, op9_secrets, op10_packing,
+        op1_sharding, op2_langid, op3_fingerprints, op4_lm_scores, op5_quality, op6_mixing, op7_line_dedup, op8_simhash, op9_secrets, op10_packing,
     )
 }
