@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import bisect
 import zlib
+from array import array
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -16,7 +17,7 @@ from ..scratch import materialize
 from .common import col, map_batches, number_within
 
 #: distinct words whose ids a Python worker remembers
-_REMEMBERED = 400_000
+_REMEMBERED = 1_000_000
 _SPECIAL = "<|"
 
 
@@ -41,8 +42,9 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         self.letters = _byte_letters()
+        self.space = self.letters[ord(" ")]
 
     def encode(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -51,14 +53,19 @@ class WordIds(dict):
     def __missing__(self, stretch: str) -> bytes:
         if len(self) >= _REMEMBERED:
             self.clear()
-        word = stretch[1:] if stretch[:1] == " " else stretch
+        spaced = stretch[:1] == " "
+        word = stretch[1:] if spaced else stretch
         if word.isalpha() and len(word) < 100:
             # one stretch of letters is one token before merging
-            spelled = stretch.encode().decode("latin-1").translate(self.letters)
-            found = np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
+            spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+            found = array("I", [t.id for t in self.tokenize(self.space + spelled if spaced else spelled)]).tobytes()
         elif word[-1:] in (".", ",") and word[:-1].isalpha():
             found = self[stretch[:-1]] + self[stretch[-1]]
         else:
+            head, line, tail = stretch.partition("\n")
+            if head and tail and not head[-1].isspace() and not tail[0].isspace():
+                # a line end between two words is a token of its own; such stretches hardly recur
+                return self[head] + self[line] + self[tail]
             found = self.encode(stretch)
         self[stretch] = found
         return found
