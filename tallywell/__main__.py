@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 
 from .plans import publish_synthetic, run, start_stream
 from .schemas import TOPICS
+from .session import recommended_conf
 from .settings import Settings, Source
 
 
@@ -28,13 +29,17 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--clients", type=int, default=50)
     parser.add_argument("--products", type=int, default=100)
     parser.add_argument("--until-empty", action="store_true", help="stream: stop when caught up")
+    parser.add_argument("--input-bytes", type=int, default=0, help="about what is read, sizes shuffles")
     given = parser.parse_args(arguments)
 
     changes = {}
     if given.topics:
         changes["sources"] = {t: Source("json", f"{given.topics}/{t}") for t in TOPICS}
     settings = Settings.from_env(os.environ, given.lake, **changes)
-    spark = SparkSession.builder.appName("tallywell").getOrCreate()
+    builder = SparkSession.builder.appName("tallywell")
+    if given.input_bytes:
+        builder = builder.config(map=recommended_conf(given.input_bytes))
+    spark = builder.getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     if given.mode in ("publish", "demo"):

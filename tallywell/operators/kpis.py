@@ -24,6 +24,7 @@ from ..schemas import KPI_NAMES
 from ..scratch import store_at
 
 ORPHAN_LABEL = "Unknown"
+MATCHED = "matched"
 PERIOD = ("window_start", "window_end")
 
 
@@ -56,14 +57,23 @@ def client_totals(transactions: DataFrame, width: str | None = None) -> DataFram
 # --- from totals to KPIs ------------------------------------------------------
 
 
+def marked(dimension: DataFrame, key: str, attribute: Column | str) -> DataFrame:
+    """Key and attribute of a dimension, and a mark that tells a match from none.
+
+    A null attribute does not: the cleaners keep rows that have one.
+    """
+    return dimension.select(key, attribute, F.lit(True).alias(MATCHED))
+
+
 def resolve_orphans(rows: DataFrame, attribute: str, orphans: str) -> DataFrame:
     """What becomes of rows without a match: kept under null, labelled, or dropped."""
     if orphans == "keep":
         return rows
     if orphans == "label":
-        return rows.withColumn(attribute, F.coalesce(attribute, F.lit(ORPHAN_LABEL)))
+        named = F.when(F.col(MATCHED).isNull(), F.lit(ORPHAN_LABEL)).otherwise(F.col(attribute))
+        return rows.withColumn(attribute, named)
     if orphans == "drop":
-        return rows.filter(F.col(attribute).isNotNull())
+        return rows.filter(F.col(MATCHED).isNotNull())
     raise ValueError(f"orphans must be keep, label or drop, not {orphans!r}")
 
 
@@ -76,7 +86,7 @@ def group_totals(
     periods: Sequence[str] = (),
 ) -> DataFrame:
     """Totals per attribute of the dimension: revenue, orders and distinct keys."""
-    joined = totals.join(dimension.select(key, attribute), key, "left")
+    joined = totals.join(marked(dimension, key, attribute), key, "left")
     return (
         resolve_orphans(joined, attribute, orphans)
         .groupBy(*periods, attribute)
@@ -149,7 +159,7 @@ def _top(totals, products, limit, at, orphans):
     ranking and so joins first.
     """
     ranking = [F.desc("units"), F.asc("product_id")]
-    names = products.select("product_id", F.col("name").alias("product_name"))
+    names = marked(products, "product_id", F.col("name").alias("product_name"))
     if orphans == "drop":
         named = resolve_orphans(totals.join(names, "product_id", "left"), "product_name", orphans)
         return shape_top(named.orderBy(*ranking).limit(limit), at, at)
@@ -158,7 +168,7 @@ def _top(totals, products, limit, at, orphans):
         names.join(top, "product_id")
         .unionByName(top, allowMissingColumns=True)
         .groupBy(*top.columns)
-        .agg(F.max("product_name").alias("product_name"))
+        .agg(F.max("product_name").alias("product_name"), F.max(MATCHED).alias(MATCHED))
     )
     return shape_top(resolve_orphans(named, "product_name", orphans).orderBy(*ranking), at, at)
 

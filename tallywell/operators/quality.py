@@ -51,21 +51,22 @@ def target_violations(df: DataFrame, table: str) -> DataFrame:
         if field.max_chars:
             rules.append((field.name, "length", F.char_length(value) > field.max_chars))
 
-    # every row rule in one aggregation of one row, turned into a row per rule
-    broken = df.agg(*(F.count_if(test).alias(str(i)) for i, (_, _, test) in enumerate(rules)))
-    entries = [
-        F.struct(F.lit(c).alias("column"), F.lit(r).alias("rule"), F.col(str(i)).alias("row_count"))
-        for i, (c, r, _) in enumerate(rules)
-    ]
-    per_rule = broken.select(F.inline(F.array(*entries)))
-
+    # rows of a key first, so that rules and repeated keys come from one look at the rows
+    names = [f"rule {i}" for i in range(len(rules))]
+    per_key = df.groupBy(*target.key).agg(
+        *(F.count_if(test).alias(n) for n, (_, _, test) in zip(names, rules)), F.count("*").alias("rows")
+    )
     keyed = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in target.key))
-    copies = df.filter(keyed).groupBy(*target.key).agg(F.count("*").alias("n"))
-    repeats = copies.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("row_count")).select(
-        F.lit(",".join(target.key)).alias("column"), F.lit("duplicate_key").alias("rule"), "row_count"
+    sums = per_key.agg(
+        *(F.sum(n).alias(n) for n in names), F.sum(F.when(keyed, F.col("rows") - 1)).alias("repeats")
     )
+    labels = [*((c, r, n) for n, (c, r, _) in zip(names, rules)), (",".join(target.key), "duplicate_key", "repeats")]
+    entries = [
+        F.struct(F.lit(c).alias("column"), F.lit(r).alias("rule"), F.col(n).alias("row_count"))
+        for c, r, n in labels
+    ]
     return (
-        per_rule.unionByName(repeats)
+        sums.select(F.inline(F.array(*entries)))
         .filter(F.col("row_count") > 0)
         .select(F.lit(table).alias("table_name"), "column", "rule", "row_count")
     )

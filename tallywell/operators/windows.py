@@ -10,6 +10,7 @@ from .kpis import (
     PERIOD,
     client_totals,
     group_totals,
+    marked,
     product_totals,
     resolve_orphans,
     shape_category,
@@ -18,6 +19,8 @@ from .kpis import (
     shape_top,
 )
 
+#: parts of a window's products that are ranked by themselves
+_SHARES = 64
 
 
 def windowed_kpi(
@@ -55,16 +58,18 @@ def windowed_kpi(
 def _window_top(transactions, products, width, limit, orphans):
     """Rank within each window, then name the winners.
 
-    A bound on the row number makes Spark cut every task's rows of a window to
-    ``limit`` before they meet in one place, so a window may hold any number of
-    products.
+    Products of a window are ranked in shares first, and only the first ``limit`` of each
+    share meet, so a window may hold any number of products whatever the limit.
     """
-    names = products.select("product_id", F.col("name").alias("product_name"))
+    names = marked(products, "product_id", F.col("name").alias("product_name"))
     totals = product_totals(transactions, width)
     if orphans == "drop":
         totals = resolve_orphans(totals.join(names, "product_id", "left"), "product_name", orphans)
-    order = Window.partitionBy(*PERIOD).orderBy(F.desc("units"), F.asc("product_id"))
-    top = totals.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= limit)
+    best = (F.desc("units"), F.asc("product_id"))
+    totals = totals.withColumn("share", F.pmod(F.xxhash64("product_id"), F.lit(_SHARES)))
+    for group in ([*PERIOD, "share"], PERIOD):
+        order = Window.partitionBy(*group).orderBy(*best)
+        totals = totals.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= limit)
     if orphans == "drop":
-        return top
-    return resolve_orphans(top.join(names, "product_id", "left"), "product_name", orphans)
+        return totals
+    return resolve_orphans(totals.join(names, "product_id", "left"), "product_name", orphans)

@@ -120,7 +120,10 @@ def run(
         failed = run_summary(
             spark, run_id, started, _now(), "FAILED", ingested, processed, stored, 1, note
         )
-        _log(failed, settings)
+        try:
+            _log(failed, settings)
+        except Exception as unlogged:
+            error.add_note(f"the run could not be logged either: {type(unlogged).__name__}")
         raise
     summary = run_summary(
         spark, run_id, started, _now(), "SUCCESS", ingested, processed, stored

@@ -14,7 +14,7 @@ def stream_clean(spark: SparkSession, source: Source, topic: str) -> DataFrame:
 
 
 def stream_dedup(
-    rows: DataFrame, key: str, time: str, delay: str, salts: int = 8
+    rows: DataFrame, key: str, time: str, delay: str, salts: int = 1
 ) -> DataFrame:
     """The first arrival of each id among copies at most ``delay`` apart.
 
@@ -22,15 +22,14 @@ def stream_dedup(
     later copy cannot take back a row already emitted; copies that differ need
     :func:`~tallywell.streaming.sinks.stream_to_sinks`.
 
-    A stream cannot drop copies before the shuffle. So that an id with very many of
-    them does not end up in one task, copies are first dropped within ``salts`` parts
-    of the input and only the rest by id alone. With ``1`` that step and its state
-    are saved.
+    A stream cannot drop copies before the shuffle. Where one id has very many copies that differ,
+    ``salts`` above one first drops equal ones in that many shares, dealt by the whole row, and only
+    the rest by id alone, at the price of a second state.
     """
     marked = rows.withWatermark(time, delay)
     if salts > 1:
         marked = (
-            marked.withColumn("salt", F.spark_partition_id() % salts)
+            marked.withColumn("salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)))
             .dropDuplicatesWithinWatermark([key, "salt"])
             .drop("salt")
         )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import average, exact_amount, inexact_amount, revenue
-from ..operators.kpis import PERIOD, resolve_orphans
+from ..operators.kpis import PERIOD, marked, resolve_orphans
 
 # KPI table: join key, attribute of the dimension, column of the mean, if any
 _SHAPES = {
@@ -51,7 +51,7 @@ def stream_windowed_revenue(
     ]
     if key == "client_id":
         measures.append(F.approx_count_distinct(key).alias("unique_clients"))
-    on, dimension = [key], dimension.select(key, attribute)
+    on, dimension = [key], marked(dimension, key, attribute)
     if salts > 1:
         on = [key, "salt"]
         transactions = transactions.withColumn("salt", F.spark_partition_id() % salts)

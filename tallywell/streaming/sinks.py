@@ -83,9 +83,9 @@ def stream_to_sinks(
         log = read_batches(spark, _rows_path(lake), schema)
         log = log.filter(F.col(BATCH) <= batch_id).drop(BATCH)
         if horizon is not None:
-            log = _near(log, batch, horizon)
+            log = _near(log, batch, horizon, width)
         same_id = log.select(_ID, "transaction_time").join(batch.select(_ID), _ID, "left_semi")
-        touched = write_batch(same_id.select(start).distinct(), _touched_path(lake), batch_id)
+        touched = store_at(same_id.select(start).distinct(), f"{lake}/_touched")
 
         placed = log.select("*", start)
         ids = placed.join(touched, "window_start", "left_semi").select(_ID).distinct()
@@ -95,7 +95,10 @@ def stream_to_sinks(
         for kpi, dimension in dimensions.items():
             result = windowed_kpi(kpi, current, dimension, width, limit)
             write_batch(result, _kpi_path(lake, kpi), batch_id)
-            if jdbc is not None:
+        # only now do readers look for this batch's rows of these windows
+        write_batch(touched, _touched_path(lake), batch_id)
+        if jdbc is not None:
+            for kpi in dimensions:
                 write_jdbc(storable(current_kpi(spark, lake, kpi), kpi), kpi, jdbc, "overwrite")
 
     writer = transactions.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
@@ -104,16 +107,21 @@ def stream_to_sinks(
     return writer.trigger(processingTime=trigger).start()
 
 
-def _near(log: DataFrame, batch: DataFrame, horizon: str) -> DataFrame:
+def _near(log: DataFrame, batch: DataFrame, horizon: str, width: str) -> DataFrame:
     """The part of the log that copies of the batch's rows and their windows can be in.
 
-    Two horizons, since a touched window lies up to one away and the rows that
-    compete with those in it up to one more.
+    Windows that a copy up to one horizon away lies in are touched and needed as a whole;
+    rows that compete with those in them lie up to one horizon further.
     """
-    bounds = batch.agg(
-        F.expr(f"min(transaction_time) - 2 * interval '{horizon}'").alias("low"),
-        F.expr(f"max(transaction_time) + 2 * interval '{horizon}'").alias("high"),
-    ).first()
+    span = F.expr(f"interval '{horizon}'")
+    ends = batch.agg(F.min("transaction_time").alias("first"), F.max("transaction_time").alias("last"))
+    bounds = (
+        # a window takes rows only, so both ends become one
+        ends.select(F.explode(F.array(F.col("first") - span, F.col("last") + span)).alias("at"))
+        .select(F.window("at", width).alias("w"))
+        .agg((F.min("w.start") - span).alias("low"), (F.max("w.end") + span).alias("high"))
+        .first()
+    )
     if bounds.low is None:
         return log.limit(0)
     return log.filter(F.col("transaction_time").between(bounds.low, bounds.high))

@@ -124,8 +124,13 @@ def test_orphans(frames, data):
     labelled = revenue_by_category(txn, products, AT, orphans="label")
     dropped = revenue_by_category(txn, products, AT, orphans="drop")
     assert {r.category for r in kept.collect()} == {None, "cat 0", "cat 1", "cat 2"}
-    assert {r.category for r in labelled.collect()} == {"Unknown", "cat 0", "cat 1", "cat 2"}
-    assert {r.category for r in dropped.collect()} == {"cat 0", "cat 1", "cat 2"}
+    # a product without a category is known all the same, and its revenue stays under null
+    matched = txn.join(products, "product_id").groupBy("category").agg(F.sum("total_amount").alias("total"))
+    want = {r.category: r.total for r in matched.collect()}
+    assert None in want
+    assert {r.category: r.total_revenue for r in dropped.collect()} == pytest.approx(want, nan_ok=True)
+    found = {r.category: r.total_revenue for r in labelled.collect()}
+    assert found.pop("Unknown") > 0 and found == pytest.approx(want, nan_ok=True)
     with pytest.raises(ValueError):
         revenue_by_category(txn, products, AT, orphans="hide")
     known = {p[0] for p in data[2]}
@@ -224,9 +229,39 @@ def test_window_top(frames, data, orphans):
 
 def test_window_ranking_is_cut_before_the_shuffle(frames):
     text = plan(windowed_kpi("kpi_top_products", frames[0], frames[2], "1 day", 5))
-    assert text.count("WindowGroupLimit") == 2
+    assert text.count("WindowGroupLimit") == 4
+    # beyond what Spark cuts by itself, shares of a window are ranked and cut first
+    text = plan(windowed_kpi("kpi_top_products", frames[0], frames[2], "1 day", 2000))
+    ranked = [x for x in text.splitlines() if "Window [row_number" in x]
+    assert len(ranked) == 2 and "share" in ranked[1]
 
 
 def test_unknown_kpi(frames):
     with pytest.raises(ValueError):
         windowed_kpi("kpi_weather", frames[0], frames[1])
+
+
+@pytest.mark.parametrize("orphans, want", [("keep", {None: 12.0}), ("drop", {None: 5.0}), ("label", {None: 5.0, "Unknown": 7.0})])
+def test_a_null_attribute_is_no_orphan(spark, orphans, want):
+    txn = spark.createDataFrame(
+        [("a", "P", "C", 1, 5.0), ("b", "X", "Y", 1, 7.0)],
+        "transaction_id string, product_id string, client_id string, quantity int, total_amount double",
+    )
+    products = spark.createDataFrame([("P", None, None)], "product_id string, name string, category string")
+    clients = spark.createDataFrame([("C", None, None)], "client_id string, country string, segment string")
+    for kpi, dimension in ((revenue_by_category, products), (revenue_by_country, clients), (customer_segments, clients)):
+        got = kpi(txn, dimension, AT, orphans=orphans)
+        assert {r[2]: r.total_revenue for r in got.collect()} == want
+    top = {r.product_id: r.product_name for r in top_products(txn, products, 5, AT, orphans).collect()}
+    assert top == {"keep": {"P": None, "X": None}, "drop": {"P": None}, "label": {"P": None, "X": "Unknown"}}[orphans]
+
+
+def test_window_top_beyond_any_limit_of_the_optimizer(spark):
+    n = 3000
+    txn = spark.range(n).selectExpr(
+        "concat('t', id) AS transaction_id", "concat('p', id) AS product_id", "int(id + 1) AS quantity",
+        "1.0D AS total_amount", "timestamp'2024-01-01 00:00:00' AS transaction_time",
+    )
+    products = spark.createDataFrame([], "product_id string, name string")
+    got = windowed_kpi("kpi_top_products", txn, products, "1 day", 2000).collect()
+    assert sorted(r.units_sold for r in got) == list(range(n - 2000 + 1, n + 1))

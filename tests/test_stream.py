@@ -7,6 +7,7 @@ from tallywell.operators import clean_transactions, windowed_kpi
 from tallywell.schemas import KPI_NAMES
 from tallywell.settings import Source
 from tallywell.sources import read_messages
+from tallywell.streaming import sinks
 from tallywell.streaming import (
     current_kpi,
     current_transactions,
@@ -136,7 +137,7 @@ def test_paced_stream_equals_batch(spark, tmp_path):
 def drain(spark, topic, dimensions, root, **options):
     rows = stream_clean(spark, topic.source, "transactions")
     stream_to_sinks(
-        rows, *dimensions, str(root / "lake"), str(root / "checkpoint"), width="1 hour", **options
+        rows, *dimensions, str(root / "lake"), str(root / "checkpoint"), **{"width": "1 hour", **options}
     ).awaitTermination()
     return rows.schema
 
@@ -178,6 +179,34 @@ def test_batches_to_sinks_equal_batch(spark, tmp_path, dimensions, horizon):
     assert_equals_batch(spark, topic, dimensions, tmp_path, schema)
 
 
+def test_a_horizon_below_the_window(spark, tmp_path, dimensions):
+    """Rows of a touched window count wherever in the window they are."""
+    topic = Topic(tmp_path)
+    topic.publish(sale("a", "P1", "01:00", 1.0))
+    drain(spark, topic, dimensions, tmp_path, horizon="1 hour", width="1 day")
+    topic.publish(sale("b", "P1", "23:00", 2.0))
+    drain(spark, topic, dimensions, tmp_path, horizon="1 hour", width="1 day")
+    kpi = current_kpi(spark, str(tmp_path / "lake"), "kpi_revenue_by_category")
+    assert [(r.total_revenue, r.order_count) for r in kpi.collect()] == [(3.0, 2)]
+
+
+def test_windows_stay_while_a_batch_works(spark, tmp_path, dimensions, monkeypatch):
+    topic = Topic(tmp_path)
+    topic.publish(sale("a", "P1", "00:10", 1.0))
+    drain(spark, topic, dimensions, tmp_path)
+    seen, write = [], sinks.write_batch
+
+    def watched(rows, path, batch_id):
+        stored = write(rows, path, batch_id)
+        seen.append(current_kpi(spark, str(tmp_path / "lake"), "kpi_revenue_by_category").count())
+        return stored
+
+    monkeypatch.setattr(sinks, "write_batch", watched)
+    topic.publish(sale("b", "P1", "00:20", 2.0))
+    drain(spark, topic, dimensions, tmp_path)
+    assert len(seen) == 6 and set(seen) == {1}
+
+
 def test_a_batch_run_again_changes_nothing(spark, tmp_path, dimensions):
     topic = Topic(tmp_path)
     topic.publish(sale("a", "P1", "00:10", 1.0))
