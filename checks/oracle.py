@@ -408,7 +408,14 @@ kept AS (SELECT arrived.* FROM arrived, mark WHERE slice < 2 OR transaction_time
 SELECT date_trunc('day', transaction_time)::TIMESTAMP AS window_start,
   date_trunc('day', transaction_time)::TIMESTAMP + INTERVAL 1 DAY AS window_end, {columns}
 FROM {joined.replace("txn", "kept")} GROUP BY ALL"""
-    return _with(TXN + dimension + [arrivals], body)
+    return _with(TXN + dimension + [arrivals], _closed(body, 30))
+
+
+def _closed(windows: str, days: int) -> str:
+    """Windows that end by the last watermark, ``days`` before the latest time; the stream keeps the open ones back."""
+    return f"""
+SELECT * FROM ({windows})
+WHERE window_end <= (SELECT max(transaction_time) FROM txn) - INTERVAL {days} DAY"""
 
 
 def flat_windows() -> str:
@@ -509,9 +516,14 @@ SELECT 'SUCCESS' AS status, (SELECT count(*) FROM txn_sent) + (SELECT count(*) F
         [_TXN_SENT, _TXN_VALID], f"SELECT {TXN_COLUMNS} FROM txn_valid"
     )
     sql["stream_dedup"] = _with(
-        [_TXN_SENT, _TXN_VALID], "SELECT DISTINCT transaction_id FROM txn_valid"
+        [_TXN_SENT, _TXN_VALID],
+        """
+SELECT DISTINCT transaction_id, 1::BIGINT AS row_count, 1::BIGINT AS rows_as_sent FROM txn_valid""",
     )
-    sql["stream_win_revenue_by_category"] = sql["win_revenue_by_category"]
+    for name in ("kpi_revenue_by_category", "kpi_revenue_by_country", "kpi_customer_segments"):
+        sql[name.replace("kpi_", "stream_win_")] = _with(
+            TXN + _KPI_PARTS[name][3], _closed(daily(name), 1)
+        )
     sql["stream_late_rows"] = late_rows()
     sql["stream_foreach_batch"] = _with(TXN + CLI + PRD, flat_windows())
     return sql

@@ -38,12 +38,10 @@ from tallywell.sources import decode_messages, encode_messages, read_messages, w
 from tallywell.sources.synth import client_rows, product_rows, transaction_rows
 from tallywell.streaming import (
     current_kpi,
-    latest_updates,
     stream_clean,
     stream_dedup,
     stream_to_sinks,
     stream_windowed_revenue,
-    write_updates,
 )
 
 from .feeds import feed, table, timed_feed, topic
@@ -373,13 +371,16 @@ def _synth_transactions(spark, sf_dir):
 # --- streams ------------------------------------------------------------------
 
 
-def _drain(rows: DataFrame, spark: SparkSession) -> DataFrame:
-    """Run an append-mode query over all its input and return what it wrote."""
-    path = scratch_dir(spark, "stream")
+def _drain(rows: DataFrame, spark: SparkSession, folders: tuple[str, str] | None = None) -> DataFrame:
+    """Run an append-mode query over all its input and return what it wrote.
+
+    ``folders`` are those of an earlier run that this one goes on from.
+    """
+    path, checkpoint = folders or (scratch_dir(spark, "stream"), scratch_dir(spark, "checkpoint"))
     writer = (
         rows.writeStream.format("parquet")
         .option("path", path)
-        .option("checkpointLocation", scratch_dir(spark, "checkpoint"))
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
     )
     with _state_per_core(spark):
@@ -420,8 +421,16 @@ def _stream_clean_transactions(spark, sf_dir):
 def _stream_dedup(spark, sf_dir):
     rows = stream_clean(spark, topic(spark, sf_dir, "transactions"), "transactions")
     # copies in these tables are up to seven years apart
-    first = stream_dedup(rows, "transaction_id", "transaction_time", "2600 days")
-    return _drain(first.select("transaction_id"), spark)
+    first = _drain(stream_dedup(rows, "transaction_id", "transaction_time", "2600 days"), spark)
+    # which copy came first is chance, but it has to be one of those sent, as it was
+    sent = valid_rows(feed(spark, sf_dir, "transactions"), "transactions").distinct()
+    same = reduce(Column.__and__, [first[c].eqNullSafe(sent[c]) for c in first.columns])
+    found = sent.select("*", F.lit(True).alias("found"))
+    return (
+        first.join(found, same, "left")
+        .groupBy(first["transaction_id"])
+        .agg(F.count("*").alias("row_count"), F.count("found").alias("rows_as_sent"))
+    )
 
 
 def _clean_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -435,31 +444,29 @@ def _clean_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _revenue_by_slices(spark, sf_dir, messages, slice_of, slices, delay) -> DataFrame:
-    """The streaming category KPI after all slices, one query run for each slice."""
-    products = materialize(cleaned(spark, sf_dir, "products"), "products")
-    updates, checkpoint = scratch_dir(spark, "updates"), scratch_dir(spark, "checkpoint")
+def _revenue_by_slices(spark, sf_dir, kpi, messages, slice_of, slices, delay) -> DataFrame:
+    """A streaming KPI after all slices, one query run for each slice; windows still open are left out."""
+    name = "products" if kpi == "kpi_revenue_by_category" else "clients"
+    dimension = materialize(cleaned(spark, sf_dir, name), name)
+    folders = scratch_dir(spark, "stream"), scratch_dir(spark, "checkpoint")
     for source in _in_slices(messages, slice_of, slices):
         rows = stream_clean(spark, source, "transactions")
         first = stream_dedup(rows, "transaction_id", "transaction_time", delay)
-        groups = stream_windowed_revenue("kpi_revenue_by_category", first, products)
-        writer = (
-            groups.writeStream.outputMode("update")
-            .foreachBatch(write_updates(updates))
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-        )
-        with _state_per_core(spark):
-            writer.start().awaitTermination()
-    keys = ["window_start", "window_end", "category"]
-    return latest_updates(spark, updates, groups.schema, keys)
+        closed = _drain(stream_windowed_revenue(kpi, first, dimension), spark, folders)
+    return closed
 
 
-@query("stream_win_revenue_by_category")
-def _stream_win_revenue_by_category(spark, sf_dir):
-    slices = 3
-    messages, slice_of = _clean_messages(spark, sf_dir), _time_slice(spark, sf_dir, slices)
-    return _revenue_by_slices(spark, sf_dir, messages, slice_of, slices, "1 day")
+def _stream_win(kpi: str) -> Query:
+    def run(spark, sf_dir):
+        slices = 3
+        messages, slice_of = _clean_messages(spark, sf_dir), _time_slice(spark, sf_dir, slices)
+        return _revenue_by_slices(spark, sf_dir, kpi, messages, slice_of, slices, "1 day")
+
+    return run
+
+
+for _kpi in ("kpi_revenue_by_category", "kpi_revenue_by_country", "kpi_customer_segments"):
+    register(_kpi.replace("kpi_", "stream_win_"), _stream_win(_kpi))
 
 
 @query("stream_late_rows")
@@ -469,7 +476,8 @@ def _stream_late_rows(spark, sf_dir):
     late = F.get_json_object("value", "$.quantity").cast("int") % 7 == 0
     slice_of = F.when(late, slices - 1).otherwise(_time_slice(spark, sf_dir, slices))
     messages = _clean_messages(spark, sf_dir)
-    return _revenue_by_slices(spark, sf_dir, messages, slice_of, slices, "30 days")
+    kpi = "kpi_revenue_by_category"
+    return _revenue_by_slices(spark, sf_dir, kpi, messages, slice_of, slices, "30 days")
 
 
 @query("stream_foreach_batch")

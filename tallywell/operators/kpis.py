@@ -31,19 +31,24 @@ PERIOD = ("window_start", "window_end")
 # --- per-key totals -----------------------------------------------------------
 
 
+def key_measures() -> list[Column]:
+    """What is summed of transactions: units, orders and amounts."""
+    amount = F.col("total_amount")
+    return [
+        F.sum("quantity").alias("units"),
+        F.count("transaction_id").alias("orders"),
+        F.sum(exact_amount(amount)).alias("exact"),
+        F.sum(inexact_amount(amount)).alias("inexact"),
+    ]
+
+
 def key_totals(transactions: DataFrame, key: str, width: str | None = None) -> DataFrame:
     """Units, orders and amounts per ``key``, within each event-time window if any."""
-    amount = F.col("total_amount")
     by = [F.col(key)]
     if width is not None:
         transactions = transactions.withColumn("period", F.window("transaction_time", width))
         by = [F.col("period.start").alias(PERIOD[0]), F.col("period.end").alias(PERIOD[1]), *by]
-    return transactions.groupBy(*by).agg(
-        F.sum("quantity").alias("units"),
-        F.count("transaction_id").alias("orders"),
-        F.sum(exact_amount(amount)).alias("exact"),
-        F.sum(inexact_amount(amount)).alias("inexact"),
-    )
+    return transactions.groupBy(*by).agg(*key_measures())
 
 
 def product_totals(transactions: DataFrame, width: str | None = None) -> DataFrame:
@@ -83,7 +88,7 @@ def group_totals(
     key: str,
     attribute: str,
     orphans: str,
-    periods: Sequence[str] = (),
+    periods: Sequence[str | Column] = (),
 ) -> DataFrame:
     """Totals per attribute of the dimension: revenue, orders and distinct keys."""
     joined = totals.join(marked(dimension, key, attribute), key, "left")

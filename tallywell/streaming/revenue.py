@@ -5,14 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import average, exact_amount, inexact_amount, revenue
-from ..operators.kpis import PERIOD, marked, resolve_orphans
-
-# KPI table: join key, attribute of the dimension, column of the mean, if any
+from ..operators.kpis import (
+    group_totals,
+    key_measures,
+    shape_category,
+    shape_country,
+    shape_segments,
+)
+
+# KPI table: join key, attribute of the dimension, columns
 _SHAPES = {
-    "kpi_revenue_by_category": ("product_id", "category", "avg_order_value"),
-    "kpi_revenue_by_country": ("client_id", "country", None),
-    "kpi_customer_segments": ("client_id", "segment", "avg_spend"),
+    "kpi_revenue_by_category": ("product_id", "category", shape_category),
+    "kpi_revenue_by_country": ("client_id", "country", shape_country),
+    "kpi_customer_segments": ("client_id", "segment", shape_segments),
 }
 
 
@@ -23,56 +28,25 @@ def stream_windowed_revenue(
     width: str = "1 day",
     delay: str | None = None,
     orphans: str = "keep",
-    salts: int = 8,
 ) -> DataFrame:
-    """A KPI table as a streaming aggregate over windows of ``width``.
+    """A KPI table as a streaming aggregate over windows of ``width``, for append mode.
 
-    The dimension is joined as a static table with one row per id. ``delay`` sets the
-    watermark: windows that ended longer ago take no more rows. Leave it out when
-    the stream already has one. Distinct clients cannot be counted exactly in
-    state, so ``unique_clients`` is approximate here; top products need a ranking over
-    all products of a window and are left to
-    :func:`~tallywell.streaming.sinks.stream_to_sinks`.
+    As in batch, transactions are first summed per window and key, here in state, so a hot
+    key reaches the join as one row per window, and distinct clients are an exact count of
+    rows. The dimension is joined as a static table with one row per id.
 
-    A stream cannot be summed before its join either. Where the dimension is too large
-    to be broadcast, rows of one key are spread over ``salts`` tasks, each with a copy
-    of the dimension's row.
+    ``delay`` sets the watermark; leave it out when the stream already has one. A window
+    comes out once, when the watermark has passed its end, and takes no more rows then; windows
+    still open at the end of the stream do not come out. Top products need a ranking over all
+    products of a window and are left to :func:`~tallywell.streaming.sinks.stream_to_sinks`.
     """
     if kpi not in _SHAPES:
         raise ValueError(f"no streaming form of {kpi!r}, only of {', '.join(_SHAPES)}")
-    key, attribute, mean = _SHAPES[kpi]
+    key, attribute, shape = _SHAPES[kpi]
     if delay is not None:
         transactions = transactions.withWatermark("transaction_time", delay)
-    amount = F.col("total_amount")
-    measures = [
-        F.sum(exact_amount(amount)).alias("exact"),
-        F.sum(inexact_amount(amount)).alias("inexact"),
-        F.count("transaction_id").alias("order_count"),
-    ]
-    if key == "client_id":
-        measures.append(F.approx_count_distinct(key).alias("unique_clients"))
-    on, dimension = [key], marked(dimension, key, attribute)
-    if salts > 1:
-        on = [key, "salt"]
-        transactions = transactions.withColumn("salt", F.spark_partition_id() % salts)
-        dimension = dimension.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    joined = transactions.join(dimension, on, "left")
-    groups = (
-        resolve_orphans(joined, attribute, orphans)
-        .groupBy(F.window("transaction_time", width).alias("period"), attribute)
-        .agg(*measures)
-    )
-    columns = [
-        F.col("period.start").alias(PERIOD[0]),
-        F.col("period.end").alias(PERIOD[1]),
-        F.col(attribute),
-        revenue(F.col("exact"), F.col("inexact")).alias("total_revenue"),
-        F.col("order_count"),
-    ]
-    if key == "client_id":
-        columns.append(F.col("unique_clients"))
-    if mean:
-        columns.append(
-            average(F.col("exact"), F.col("inexact"), F.col("order_count")).alias(mean)
-        )
-    return groups.select(*columns)
+    period = F.window("transaction_time", width).alias("period")
+    totals = transactions.groupBy(period, key).agg(*key_measures())
+    again = F.window("period", width).alias("period")
+    groups = group_totals(totals, dimension, key, attribute, orphans, [again])
+    return shape(groups, F.col("period.start"), F.col("period.end"))
