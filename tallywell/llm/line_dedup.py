@@ -27,13 +27,20 @@ def _wordy(line: Column) -> Column:
 def site_lines(docs: DataFrame, ratio: float, min_pages: int, host: str, text: str) -> DataFrame:
     """``host``, ``lines``: digests of the lines on more than ``ratio`` of the host's pages.
 
-    Pages are counted once for each line, before the shuffle where they are. A host
+    Copies of a page are one page: they meet by a digest, dropped where they are read
+    first. Pages are counted once for each line, before the shuffle where they are. A host
     has at most its mean number of lines a page, divided by ``ratio``, of them.
     """
-    site = col(host).alias("host")
     distinct = F.array_distinct(F.transform(F.filter(_lines(col(text)), _wordy), _digest))
+    copies = docs.select(
+        col(host).alias("host"),
+        F.xxhash64(col(text)).alias("page"),
+        F.octet_length(col(text)).alias("size"),
+        F.coalesce(distinct, F.array()).alias("lines"),
+    )
+    pages = copies.groupBy("host", "page", "size").agg(F.first("lines").alias("lines"))
     # the null entry counts the page itself
-    per_page = docs.select(site, F.explode(F.concat(F.array(F.lit(None).cast("long")), F.coalesce(distinct, F.array()))).alias("line"))
+    per_page = pages.select("host", F.explode(F.concat(F.array(F.lit(None).cast("long")), "lines")).alias("line"))
     counts = materialize(
         per_page.groupBy("host", "line").agg(F.count("*").alias("pages")).filter(
             F.col("line").isNull() | (F.col("pages") >= min_pages)
@@ -61,9 +68,10 @@ def drop_site_lines(
     """The columns of ``docs``, boilerplate lines cut from ``text``, and ``lines_dropped``.
 
     A line goes if it is on at least ``min_pages`` pages of its host and on more than
-    ``ratio`` of them. A page counts once for a line however often it has it; copies of
-    a page are pages. Lines are compared by a 64-bit digest, exactly as they stand; blank
-    lines stay. Null texts stay null, null is a host like any other, and a page
+    ``ratio`` of them. A page counts once for a line however often it has it, and so do
+    all copies of a page on its host: copies are no boilerplate, or a page with many would be
+    emptied rather than kept once. Lines are compared by a 64-bit digest, exactly as they
+    stand; blank lines stay. Null texts stay null, null is a host like any other, and a page
     may end up empty. A column ``lines_dropped`` is replaced.
 
     The list of lines is sent to every task if its size, which is looked up, is within
