@@ -27,6 +27,13 @@ CLEANERS = {
     "products": clean_products,
 }
 
+# fixed values: what a run shows of its KPIs
+SHOWN = {
+    "kpi_revenue_by_category": ("category", "total_revenue", "order_count", "avg_order_value"),
+    "kpi_top_products": ("product_name", "units_sold", "total_revenue"),
+    "kpi_customer_segments": ("segment", "total_revenue", "order_count", "unique_clients", "avg_spend"),
+}
+
 
 @dataclass(frozen=True)
 class RunResult:
@@ -37,11 +44,8 @@ class RunResult:
     summary: DataFrame
 
     def samples(self, rows: int = 10) -> dict[str, DataFrame]:
-        """The first rows of each KPI, without its window."""
-        return {
-            name: kpi.drop("window_start", "window_end").limit(rows)
-            for name, kpi in self.kpis.items()
-        }
+        """The first rows of the KPIs that a run shows, in the columns it shows."""
+        return {name: self.kpis[name].select(*shown).limit(rows) for name, shown in SHOWN.items()}
 
 
 def run_summary(

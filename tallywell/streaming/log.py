@@ -1,4 +1,4 @@
-"""What micro-batches wrote, one folder per batch.
+"""What micro-batches wrote: a folder for each, merged into larger ones as they add up.
 
 A batch that is run again after a failure overwrites its own folder, which makes
 ``foreachBatch``'s at-least-once delivery exact.
@@ -6,27 +6,97 @@ A batch that is run again after a failure overwrites its own folder, which makes
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.dedup import dedup_latest
+from ..sinks.lake import write_parquet
 
 BATCH = "batch_id"
+_PLACE = T.StructType([T.StructField(c, T.LongType()) for c in ("level", "first", BATCH)])
 
 
-def write_batch(rows: DataFrame, path: str, batch_id: int) -> DataFrame:
+def _folder(path: str, level: int, first: int, last: int) -> str:
+    return f"{path}/level={level}/first={first}/{BATCH}={last}"
+
+
+def write_batch(
+    rows: DataFrame, path: str, batch_id: int, partition_by: str | None = None
+) -> DataFrame:
     """Write a batch's rows; returns the stored copy, without the batch number."""
-    folder = f"{path}/{BATCH}={batch_id}"
-    rows.write.mode("overwrite").parquet(folder)
+    folder = _folder(path, 0, batch_id, batch_id)
+    write_parquet(rows, folder, partition_by=partition_by)
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
+def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(T.StructType([*schema.fields, *_PLACE.fields])).parquet(path)
+
+
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All batches' rows with their batch number."""
-    numbered = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-    return spark.read.schema(numbered).parquet(path)
+    """All batches' rows with their batch number, that of the last for merged batches.
+
+    Rows may come twice: what was merged stays until the next merge, for readers that
+    have begun with it.
+    """
+    return _read(spark, path, schema).drop("level", "first")
+
+
+# --- merging ------------------------------------------------------------------
+
+
+def due_merges(batch_id: int, every: int) -> Iterator[tuple[int, int, int]]:
+    """``level, first, last`` of the parts to merge before a batch: ``every`` of a level at a time.
+
+    A row is so rewritten once for each level, and a log of n batches has about
+    ``every`` folders for each of its levels, which are log n.
+    """
+    if every < 2:
+        raise ValueError("a merge takes two batches at least")
+    level, width = 0, every
+    while batch_id and batch_id % width == 0:
+        yield level, batch_id - width, batch_id - 1
+        level, width = level + 1, width * every
+
+
+def parts_of(
+    spark: SparkSession, path: str, schema: T.StructType, merge: tuple[int, int, int]
+) -> DataFrame:
+    """The rows of the parts a merge takes in, and of no others, with their batch number."""
+    level, first, last = merge
+    parts = _read(spark, path, schema)
+    return parts.filter((F.col("level") == level) & F.col("first").between(first, last)).drop("level", "first")
+
+
+def write_merged(
+    rows: DataFrame, path: str, merge: tuple[int, int, int], partition_by: str | None = None
+) -> None:
+    """Write what becomes of a merge's parts as one part of the next level."""
+    level, first, last = merge
+    write_parquet(rows, _folder(path, level + 1, first, last), partition_by=partition_by)
+
+
+def drop_merged(spark: SparkSession, path: str, merge: tuple[int, int, int], every: int) -> None:
+    """Delete the parts that the merge before this one took in, if it is there in full."""
+    level, first, last = merge
+    width = last - first + 1
+    merged = _path(spark, f"{_folder(path, level + 1, first - width, first - 1)}/_SUCCESS")
+    files = merged.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if first < width or not files.exists(merged):
+        return
+    step = width // every
+    for start in range(first - width, first, step):
+        files.delete(_path(spark, _folder(path, level, start, start + step - 1)), True)
+
+
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+# --- result tables of queries in update mode ------------------------------------
 
 
 def write_updates(path: str):

@@ -1,11 +1,12 @@
 """Micro-batches of transactions to the lake and the database.
 
-The lake holds the valid rows, the latest for each id, under the batch that brought
-them. Of all rows with one id the latest by event time counts, as in batch, so a batch may take an earlier row
+The lake holds the valid rows, the latest for each id, by date under the batch that
+brought them; finished batches are merged. Of all rows with one id the latest by event time counts, as in batch, so a batch may take an earlier row
 out of its window. Each batch therefore recomputes the windows that hold any row
 with one of its ids, from the lake and with the batch operators: exact distinct
 clients and top products included. A KPI's current table is, for each window, what
-the last batch to touch it computed; a window left without rows has none.
+the last batch to touch it computed; a window left without rows has none. The
+database gets the touched windows and the batch's ids in place of what it has of them.
 """
 
 from __future__ import annotations
@@ -21,8 +22,9 @@ from ..operators.windows import windowed_kpi
 from ..schemas import KPI_NAMES, TARGETS
 from ..scratch import store_at
 from ..settings import JdbcTarget
-from ..sinks.jdbc import storable, write_jdbc
-from .log import BATCH, read_batches, write_batch
+from ..sinks.jdbc import replace_rows, storable
+from ..sinks.lake import DATE, by_date
+from .log import BATCH, drop_merged, due_merges, parts_of, read_batches, write_batch, write_merged
 
 _ID = ENTITIES["transactions"].key
 _ORDER = ENTITIES["transactions"].order_by
@@ -41,6 +43,10 @@ def _kpi_path(lake: str, kpi: str) -> str:
     return f"{lake}/kpis_log/{kpi}"
 
 
+def _rows_schema(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(DATE, T.DateType())])
+
+
 def _kpi_schema(kpi: str) -> T.StructType:
     """The KPI's columns as computed: decimals are doubles, integers are wide."""
     kinds = {"string": T.StringType(), "timestamp": T.TimestampType(), "int": T.LongType()}
@@ -60,13 +66,15 @@ def stream_to_sinks(
     horizon: str | None = None,
     trigger: str | None = None,
     jdbc: JdbcTarget | None = None,
+    merge_every: int = 64,
 ) -> StreamingQuery:
     """Start the query; ``trigger`` is its interval, none means all there is, then stop.
 
     ``transactions`` are the rows of :func:`~tallywell.streaming.clean.stream_clean`.
     ``horizon`` promises that copies of an id lie at most that far apart in event
-    time; a batch then reads only that part of the lake. Without it a batch looks
-    through the ids of the whole lake.
+    time; a batch then reads only the dates that such copies and their windows can be
+    on. Without it a batch looks through the ids of the whole lake. Before every
+    ``merge_every``-th batch so many earlier ones are merged.
     """
     schema = transactions.schema
     dimensions = {
@@ -76,14 +84,17 @@ def stream_to_sinks(
 
     def store(rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
+        for merge in due_merges(batch_id, merge_every):
+            _merge(spark, lake, schema, merge, merge_every)
         # one row per id and batch: a hot id adds no more than that to the log
-        batch = write_batch(dedup_latest(rows, _ID, _ORDER), _rows_path(lake), batch_id)
+        batch = by_date(dedup_latest(rows, _ID, _ORDER))
+        batch = write_batch(batch, _rows_path(lake), batch_id, DATE)
         start = F.window("transaction_time", width)["start"].alias("window_start")
 
-        log = read_batches(spark, _rows_path(lake), schema)
-        log = log.filter(F.col(BATCH) <= batch_id).drop(BATCH)
+        log = read_batches(spark, _rows_path(lake), _rows_schema(schema))
         if horizon is not None:
-            log = _near(log, batch, horizon, width)
+            log = near(log, batch, horizon, width)
+        log = log.drop(BATCH, DATE)
         same_id = log.select(_ID, "transaction_time").join(batch.select(_ID), _ID, "left_semi")
         touched = store_at(same_id.select(start).distinct(), f"{lake}/_touched")
 
@@ -92,14 +103,19 @@ def stream_to_sinks(
         current = dedup_latest(placed.join(ids, _ID, "left_semi"), _ID, _ORDER)
         # batches come one after another and take turns in one folder
         current = store_at(current.join(touched, "window_start", "left_semi"), f"{lake}/_windows")
-        for kpi, dimension in dimensions.items():
-            result = windowed_kpi(kpi, current, dimension, width, limit)
-            write_batch(result, _kpi_path(lake, kpi), batch_id)
+        results = {
+            kpi: write_batch(
+                windowed_kpi(kpi, current, dimension, width, limit), _kpi_path(lake, kpi), batch_id
+            )
+            for kpi, dimension in dimensions.items()
+        }
         # only now do readers look for this batch's rows of these windows
         write_batch(touched, _touched_path(lake), batch_id)
         if jdbc is not None:
-            for kpi in dimensions:
-                write_jdbc(storable(current_kpi(spark, lake, kpi), kpi), kpi, jdbc, "overwrite")
+            changed = current.drop("window_start").join(batch.select(_ID), _ID, "left_semi")
+            replace_rows(storable(changed, "transactions"), "transactions", [_ID], jdbc)
+            for kpi, result in results.items():
+                replace_rows(storable(result, kpi), kpi, ["window_start"], jdbc, touched)
 
     writer = transactions.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     if trigger is None:
@@ -107,35 +123,59 @@ def stream_to_sinks(
     return writer.trigger(processingTime=trigger).start()
 
 
-def _near(log: DataFrame, batch: DataFrame, horizon: str, width: str) -> DataFrame:
-    """The part of the log that copies of the batch's rows and their windows can be in.
+def near(log: DataFrame, batch: DataFrame, horizon: str, width: str) -> DataFrame:
+    """The dates of the log that copies of the batch's rows and their windows can be on.
 
     Windows that a copy up to one horizon away lies in are touched and needed as a whole;
-    rows that compete with those in them lie up to one horizon further.
+    rows that compete with those in them lie up to one horizon further. The driver sees the
+    dates, so that others are not even listed.
     """
-    span = F.expr(f"interval '{horizon}'")
-    ends = batch.agg(F.min("transaction_time").alias("first"), F.max("transaction_time").alias("last"))
-    bounds = (
-        # a window takes rows only, so both ends become one
-        ends.select(F.explode(F.array(F.col("first") - span, F.col("last") + span)).alias("at"))
-        .select(F.window("at", width).alias("w"))
-        .agg((F.min("w.start") - span).alias("low"), (F.max("w.end") + span).alias("high"))
-        .first()
+    day, reach = F.col("day").cast("timestamp"), F.expr(f"2 * interval '{horizon}' + interval '{width}'")
+    one = F.expr("interval '1 day'")
+    dates = (
+        # a day more on both sides: the other end of the date, and other time zones
+        batch.select(F.col(DATE).alias("day"))
+        .distinct()
+        .select(F.explode(F.sequence(F.to_date(day - reach - one), F.to_date(day + reach + one))).alias("day"))
+        .distinct()
+        .collect()
     )
-    if bounds.low is None:
-        return log.limit(0)
-    return log.filter(F.col("transaction_time").between(bounds.low, bounds.high))
+    return log.filter(F.col(DATE).isin([r.day for r in dates]))
+
+
+def _merge(
+    spark: SparkSession, lake: str, schema: T.StructType, merge: tuple[int, int, int], every: int
+) -> None:
+    """Merge finished batches of all logs.
+
+    An id's latest row is all that later batches need, a window's last KPI rows all that
+    readers do. KPI rows come before the windows that name their batch, as in a batch.
+    """
+    rows, touched = _rows_path(lake), _touched_path(lake)
+    arrived = parts_of(spark, rows, _rows_schema(schema), merge).drop(BATCH)
+    write_merged(dedup_latest(arrived, _ID, _ORDER), rows, merge, DATE)
+    windows = parts_of(spark, touched, _TOUCHED, merge)
+    for kpi in KPI_NAMES:
+        parts = parts_of(spark, _kpi_path(lake, kpi), _kpi_schema(kpi), merge)
+        write_merged(_of_last(parts, windows), _kpi_path(lake, kpi), merge)
+    write_merged(windows.select("window_start").distinct(), touched, merge)
+    for path in (rows, *(_kpi_path(lake, kpi) for kpi in KPI_NAMES), touched):
+        drop_merged(spark, path, merge, every)
+
+
+def _of_last(rows: DataFrame, touched: DataFrame) -> DataFrame:
+    """A KPI's rows, for each window those of the last batch that touched it."""
+    last = touched.groupBy("window_start").agg(F.max(BATCH).alias(BATCH))
+    return rows.join(last, ["window_start", BATCH], "left_semi").drop(BATCH).distinct()
 
 
 def current_transactions(spark: SparkSession, lake: str, schema: T.StructType) -> DataFrame:
     """The clean transactions of all batches so far, one row per id."""
-    rows = read_batches(spark, _rows_path(lake), schema).drop(BATCH)
+    rows = read_batches(spark, _rows_path(lake), _rows_schema(schema)).drop(BATCH, DATE)
     return dedup_latest(rows, _ID, _ORDER)
 
 
 def current_kpi(spark: SparkSession, lake: str, kpi: str) -> DataFrame:
     """A KPI table as of the last batch."""
-    touched = read_batches(spark, _touched_path(lake), _TOUCHED)
-    last = touched.groupBy("window_start").agg(F.max(BATCH).alias(BATCH))
     rows = read_batches(spark, _kpi_path(lake, kpi), _kpi_schema(kpi))
-    return rows.join(last, ["window_start", BATCH], "left_semi").drop(BATCH)
+    return _of_last(rows, read_batches(spark, _touched_path(lake), _TOUCHED))

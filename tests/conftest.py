@@ -9,6 +9,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from checks.session import local_session  # noqa: E402
 from tallywell.settings import JdbcTarget  # noqa: E402
+from tallywell.sinks import jdbc  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -41,13 +42,21 @@ def writes(monkeypatch):
 
         return noted
 
-    def jdbc(self, url, table, mode=None, properties=None):
+    def sent(self, url, table, mode=None, properties=None):
         made.append({"url": url, "table": table, "told": self.told, "properties": properties,
                      "rows": self._df.collect(), "types": dict(self._df.dtypes)})
 
     monkeypatch.setattr(DataFrameWriter, "mode", note("mode"))
     monkeypatch.setattr(DataFrameWriter, "option", note("option"))
-    monkeypatch.setattr(DataFrameWriter, "jdbc", jdbc)
+    monkeypatch.setattr(DataFrameWriter, "jdbc", sent)
+    return made
+
+
+@pytest.fixture
+def statements(monkeypatch):
+    """Statements told to the database; there is none to run them."""
+    made = []
+    monkeypatch.setattr(jdbc, "execute", lambda session, target, told: made.append(told))
     return made
 
 

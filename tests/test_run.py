@@ -56,7 +56,11 @@ def test_batch_run(spark, sources, tmp_path):
     assert len(list((tmp_path / "transactions").glob("transaction_date=*"))) >= 7
     samples = result.samples(3)
     assert samples["kpi_top_products"].count() == 3
-    assert "window_start" not in samples["kpi_top_products"].columns
+    assert {name: df.columns for name, df in samples.items()} == {
+        "kpi_revenue_by_category": ["category", "total_revenue", "order_count", "avg_order_value"],
+        "kpi_top_products": ["product_name", "units_sold", "total_revenue"],
+        "kpi_customer_segments": ["segment", "total_revenue", "order_count", "unique_clients", "avg_spend"],
+    }
 
     # a second run replaces the tables and adds to the log
     run(spark, Settings(sources, lake, by_date=False), run_id="second")
@@ -84,7 +88,7 @@ def test_failed_run_is_logged(spark, sources, tmp_path):
     assert row.notes
 
 
-def test_streaming_run_equals_batch(spark, sources, tmp_path, writes):
+def test_streaming_run_equals_batch(spark, sources, tmp_path, writes, statements):
     settings = Settings(sources, str(tmp_path / "stream"), jdbc=TARGET, window="1 day")
     start_stream(spark, settings, until_empty=True).awaitTermination()
     txn = clean_transactions(read_messages(spark, sources["transactions"]))
@@ -93,7 +97,8 @@ def test_streaming_run_equals_batch(spark, sources, tmp_path, writes):
     got = got.groupBy(F.to_date("window_start").alias("day")).agg(F.sum("order_count"))
     assert dict(map(tuple, got.collect())) == dict(map(tuple, want.collect()))
     assert (tmp_path / "stream" / "products").is_dir()
-    assert {w["table"] for w in writes} == {"clients", "products", *KPI_NAMES}
+    assert {t for t in TARGETS if t in {w["table"] for w in writes}} == {"clients", "products"}
+    assert {s[1].split()[2] for s in statements} == {"transactions", *KPI_NAMES}
 
 
 def test_command_line(spark, tmp_path, capsys, monkeypatch):

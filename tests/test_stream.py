@@ -19,7 +19,7 @@ from tallywell.streaming import (
     write_updates,
 )
 
-from .conftest import message
+from .conftest import TARGET, message, plan
 
 
 class Topic:
@@ -213,8 +213,8 @@ def test_windows_stay_while_a_batch_works(spark, tmp_path, dimensions, monkeypat
     drain(spark, topic, dimensions, tmp_path)
     seen, write = [], sinks.write_batch
 
-    def watched(rows, path, batch_id):
-        stored = write(rows, path, batch_id)
+    def watched(*args):
+        stored = write(*args)
         seen.append(current_kpi(spark, str(tmp_path / "lake"), "kpi_revenue_by_category").count())
         return stored
 
@@ -224,6 +224,76 @@ def test_windows_stay_while_a_batch_works(spark, tmp_path, dimensions, monkeypat
     assert len(seen) == 6 and set(seen) == {1}
 
 
+def test_batches_are_merged(spark, tmp_path, dimensions):
+    """Two by two, on two levels, rows that move between windows and a failed merge included."""
+    topic, log = Topic(tmp_path), tmp_path / "lake" / "transactions_log"
+    for i in range(7):
+        topic.publish(sale("moves", "P1", f"{i:02}:10", 1.0), sale(f"t{i}", "P2", "00:20", 2.0, "C2"))
+        schema = drain(spark, topic, dimensions, tmp_path, merge_every=2)
+        if i == 4:
+            # as if the batch that merged had failed after merging
+            commits = tmp_path / "checkpoint" / "commits"
+            for name in ("4", ".4.crc"):
+                (commits / name).unlink()
+    assert_equals_batch(spark, topic, dimensions, tmp_path, schema)
+    parts = {tuple(int(x.split("=")[1]) for x in p.relative_to(log).parts) for p in log.glob("*/*/*")}
+    # what the last merge took in is still there
+    assert parts == {(0, 4, 4), (0, 5, 5), (0, 6, 6), (1, 0, 1), (1, 2, 3), (1, 4, 5), (2, 0, 3)}
+
+
+def test_only_near_dates_are_read(spark, tmp_path):
+    rows = spark.sql(
+        "SELECT id, timestampadd(DAY, id, timestamp'2024-01-01') AS transaction_time, "
+        "dateadd(DAY, id, date'2024-01-01') AS transaction_date FROM range(40) AS t(id)"
+    )
+    rows.write.partitionBy("transaction_date").parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    read = sinks.near(log, rows.filter("id IN (5, 30)"), "6 hours", "1 day")
+    partition_filters = plan(read).split("PartitionFilters: [")[1].split("]")[0]
+    assert "transaction_date" in partition_filters
+    found = {r.id for r in read.collect()}
+    assert {3, 4, 5, 6, 7, 28, 29, 30, 31, 32} <= found and found.isdisjoint(range(12, 24))
+
+
+def test_the_database_gets_what_a_batch_changed(spark, tmp_path, dimensions, writes, statements):
+    topic = Topic(tmp_path)
+    topic.publish(sale("a", "P1", "00:10", 1.0), sale("b", "P2", "05:20", 2.0))
+    drain(spark, topic, dimensions, tmp_path, jdbc=TARGET)
+    writes.clear(), statements.clear()
+    # one id moves, the older copy of the other does not
+    topic.publish(sale("a", "P1", "03:10", 4.0), sale("b", "P2", "05:10", 8.0))
+    drain(spark, topic, dimensions, tmp_path, jdbc=TARGET)
+    rows = {w["table"]: w["rows"] for w in writes}
+    assert sorted((r.transaction_id, float(r.unit_price)) for r in rows["transactions_stage"]) == [("a", 4.0), ("b", 2.0)]
+    for kpi in KPI_NAMES:
+        assert sorted(r.window_start.hour for r in rows[f"{kpi}_stale"]) == [0, 3, 5]
+        assert sorted(r.window_start.hour for r in rows[f"{kpi}_stage"]) == [3, 5]
+    assert all(("overwrite",) in w["told"] and w["told"]["truncate"] == "true" for w in writes)
+    assert {s[0].split()[2] for s in statements} == {"transactions", *KPI_NAMES} and len(statements) == 5
+    delete, insert = statements[0]
+    assert delete == (
+        "DELETE FROM transactions WHERE EXISTS (SELECT 1 FROM transactions_stage "
+        "WHERE transactions_stage.transaction_id = transactions.transaction_id)"
+    )
+    assert insert.startswith("INSERT INTO transactions (transaction_id, ") and insert.endswith(" FROM transactions_stage")
+
+
+def test_a_triggered_query_starts_and_stops(spark, tmp_path, dimensions):
+    topic = Topic(tmp_path)
+    topic.publish(sale("a", "P1", "00:10", 1.0))
+    rows = stream_clean(spark, topic.source, "transactions")
+    query = stream_to_sinks(
+        rows, *dimensions, str(tmp_path / "lake"), str(tmp_path / "checkpoint"), trigger="1 second"
+    )
+    query.processAllAvailable()
+    topic.publish(sale("b", "P1", "00:20", 2.0))
+    query.processAllAvailable()
+    query.stop()
+    assert query.exception() is None
+    kpi = current_kpi(spark, str(tmp_path / "lake"), "kpi_revenue_by_category")
+    assert [(r.total_revenue, r.order_count) for r in kpi.collect()] == [(3.0, 2)]
+
+
 def test_a_batch_run_again_changes_nothing(spark, tmp_path, dimensions):
     topic = Topic(tmp_path)
     topic.publish(sale("a", "P1", "00:10", 1.0))
