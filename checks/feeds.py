@@ -74,10 +74,10 @@ def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
             "lower(n_name) AS first_name",
             "upper(c_name) AS last_name",
             "if(c_custkey % 67 = 0, 'nobody', concat(' USER', c_custkey, '@Example.COM ')) AS email",
-            "concat(' ', n_name) AS country",
+            "if(c_custkey % 73 = 0, NULL, concat(' ', n_name)) AS country",
             "concat('City ', c_nationkey, ' ') AS city",
             "int(10 + c_custkey % 115) AS age",
-            "if(v = 1, 'vip', concat(' ', lower(c_mktsegment))) AS segment",
+            "if(c_custkey % 79 = 0, NULL, if(v = 1, 'vip', concat(' ', lower(c_mktsegment)))) AS segment",
             f"if(c_custkey % 71 = 0, '', date_format(event_ts, '{ISO}')) AS registered_at",
             "event_ts",
         )
@@ -91,8 +91,8 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
         .selectExpr("*", "explode(if(p_partkey % 20 = 0, array(0, 1), array(0))) AS v")
         .selectExpr(
             "if(p_partkey % 59 = 0, '', concat('PRD-', p_partkey)) AS product_id",
-            "concat(' ', p_name, if(v = 1, ' v2 ', ' ')) AS name",
-            "lower(p_type) AS category",
+            "if(p_partkey % 47 = 0, NULL, concat(' ', p_name, if(v = 1, ' v2 ', ' '))) AS name",
+            "if(p_partkey % 43 = 0, NULL, lower(p_type)) AS category",
             "if(p_partkey % 7 = 0, NULL, concat(' ', p_brand)) AS sub_category",
             "p_brand AS brand",
             "if(p_partkey % 53 = 0, 0D, p_retailprice) AS price",

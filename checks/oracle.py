@@ -48,9 +48,9 @@ cli_sent AS (
     lower(n_name) AS first_name, upper(c_name) AS last_name,
     CASE WHEN c_custkey % 67 = 0 THEN 'nobody'
          ELSE ' USER' || c_custkey || '@Example.COM ' END AS email,
-    ' ' || n_name AS country, 'City ' || c_nationkey || ' ' AS city,
+    CASE WHEN c_custkey % 73 <> 0 THEN ' ' || n_name END AS country, 'City ' || c_nationkey || ' ' AS city,
     CAST(10 + c_custkey % 115 AS INTEGER) AS age,
-    CASE WHEN v = 1 THEN 'vip' ELSE ' ' || lower(c_mktsegment) END AS segment,
+    CASE WHEN c_custkey % 79 = 0 THEN NULL WHEN v = 1 THEN 'vip' ELSE ' ' || lower(c_mktsegment) END AS segment,
     CASE WHEN c_custkey % 71 = 0 THEN ''
          ELSE strftime(TIMESTAMP '2015-01-01' + to_days(CAST(c_custkey % 1825 + v AS INTEGER)),
                        '%Y-%m-%dT%H:%M:%SZ') END AS registered_at
@@ -61,8 +61,8 @@ _PRD_SENT = """
 prd_sent AS (
   SELECT
     CASE WHEN p_partkey % 59 = 0 THEN '' ELSE 'PRD-' || p_partkey END AS product_id,
-    ' ' || p_name || CASE WHEN v = 1 THEN ' v2 ' ELSE ' ' END AS name,
-    lower(p_type) AS category,
+    CASE WHEN p_partkey % 47 <> 0 THEN ' ' || p_name || CASE WHEN v = 1 THEN ' v2 ' ELSE ' ' END END AS name,
+    CASE WHEN p_partkey % 43 <> 0 THEN lower(p_type) END AS category,
     CASE WHEN p_partkey % 7 <> 0 THEN ' ' || p_brand END AS sub_category,
     p_brand AS brand,
     CASE WHEN p_partkey % 53 = 0 THEN 0.0::DOUBLE ELSE p_retailprice END AS price,
@@ -181,12 +181,12 @@ FROM {joined} GROUP BY {by}"""
     return _with(TXN + dimension, body)
 
 
-def daily(name: str) -> str:
-    """One KPI per day of transaction time, over the clean tables."""
+def daily(name: str, days: int = 1) -> str:
+    """One KPI per so many days of transaction time since 1970, over the clean tables."""
     _, columns, joined, _ = _KPI_PARTS[name]
+    start = f"time_bucket(INTERVAL {days} DAY, transaction_time, TIMESTAMP '1970-01-01')"
     body = f"""
-SELECT date_trunc('day', transaction_time)::TIMESTAMP AS window_start,
-  date_trunc('day', transaction_time)::TIMESTAMP + INTERVAL 1 DAY AS window_end, {columns}
+SELECT {start} AS window_start, {start} + INTERVAL {days} DAY AS window_end, {columns}
 FROM {joined} GROUP BY ALL"""
     if name != "kpi_top_products":
         return body
@@ -227,21 +227,36 @@ UNION ALL SELECT 'clients', (SELECT count(*) FROM cli_sent), (SELECT count(*) FR
 UNION ALL SELECT 'products', (SELECT count(*) FROM prd_sent), (SELECT count(*) FROM prd)"""
 
 
-def flat_kpis() -> str:
-    """All four KPIs under one another."""
-    shape = {
-        "kpi_revenue_by_category": ("category", "order_count"),
-        "kpi_revenue_by_country": ("country", "order_count"),
-        "kpi_top_products": ("product_id", "units_sold"),
-        "kpi_customer_segments": ("segment", "order_count"),
-    }
+_FLAT = {
+    "kpi_revenue_by_category": "category AS key, order_count AS number, avg_order_value AS mean, "
+    "NULL::BIGINT AS clients, NULL::VARCHAR AS name",
+    "kpi_revenue_by_country": "country, order_count, NULL::DOUBLE, unique_clients, NULL::VARCHAR",
+    "kpi_top_products": "product_id, units_sold, NULL::DOUBLE, NULL::BIGINT, product_name",
+    "kpi_customer_segments": "segment, order_count, avg_spend, unique_clients, NULL::VARCHAR",
+}
+
+
+def flat_kpis(orphans: str = "keep") -> str:
+    """All four KPIs under one another, with all their columns."""
     parts = []
-    for name, (key, count) in shape.items():
+    for name, shown in _FLAT.items():
         by, columns, joined, _ = _KPI_PARTS[name]
+        if orphans == "drop":
+            joined = joined.replace("LEFT JOIN", "JOIN")
+        if orphans == "label":
+            # a known product or client keeps its null
+            for table, key, attributes in (
+                ("prd", "product_id", ("category", "name")), ("cli", "client_id", ("country", "segment")),
+            ):
+                named = ", ".join(
+                    f"CASE WHEN {table}.{key} IS NULL THEN 'Unknown' ELSE {a} END AS {a}" for a in attributes
+                )
+                if table in joined:
+                    joined = f"(SELECT txn.*, {named} FROM txn LEFT JOIN {table} USING ({key})) AS txn"
         top = "ORDER BY units_sold DESC, product_id LIMIT 20" if "top" in name else ""
         parts.append(
             f"SELECT '{name}' AS kpi, {RUN_TS} AS window_start, {RUN_TS} AS window_end, "
-            f"{key} AS key, total_revenue, {count} AS number "
+            f"total_revenue, {shown} "
             f"FROM (SELECT {columns} FROM {joined} GROUP BY {by} {top})"
         )
     return "\nUNION ALL ".join(parts)
@@ -288,8 +303,10 @@ def target_violations() -> str:
     sent = "(SELECT * REPLACE (CASE WHEN NOT broken THEN transaction_id END AS transaction_id) FROM txn_sent)"
     parts = [
         _violations("transactions", sent, "transaction_id", txn),
-        _violations("clients", "cli_sent", "client_id", [("registered_at", "type", "registered_at = ''")]),
-        _violations("products", "prd_sent", "product_id", []),
+        _violations("clients", "cli_sent", "client_id", [
+            ("registered_at", "type", "registered_at = ''"), ("country", "null", "country IS NULL"), ("segment", "null", "segment IS NULL"),
+        ]),
+        _violations("products", "prd_sent", "product_id", [("name", "null", "name IS NULL"), ("category", "null", "category IS NULL")]),
         """SELECT 'kpi_revenue_by_category', 'category', 'null', count(*) FROM (
   SELECT DISTINCT category FROM txn LEFT JOIN prd USING (product_id)) WHERE category IS NULL""",
     ]
@@ -418,21 +435,22 @@ SELECT * FROM ({windows})
 WHERE window_end <= (SELECT max(transaction_time) FROM txn) - INTERVAL {days} DAY"""
 
 
-def flat_windows() -> str:
-    """All four daily KPIs under one another."""
-    shape = {
-        "kpi_revenue_by_category": ("category", "order_count"),
-        "kpi_revenue_by_country": ("country", "order_count"),
-        "kpi_top_products": ("product_id", "units_sold"),
-        "kpi_customer_segments": ("segment", "order_count"),
-    }
+def flat_windows(days: int = 1) -> str:
+    """All four windowed KPIs under one another, with all their columns."""
     return "\nUNION ALL ".join(
-        f"SELECT '{name}' AS kpi, window_start, window_end, {key} AS key, total_revenue, "
-        f"{count} AS number FROM ({daily(name)})"
-        for name, (key, count) in shape.items()
+        f"SELECT '{name}' AS kpi, window_start, window_end, total_revenue, {shown} FROM ({daily(name, days)})"
+        for name, shown in _FLAT.items()
     )
 
 
+def _row(columns: str, doubles: str) -> str:
+    """A row as text, doubles in thousandths."""
+    shown = [
+        f"CAST(round({c} * 1000) AS BIGINT)" if c in doubles.split() else c for c in columns.split(", ")
+    ]
+    return " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), 'null')" for c in shown)
+
+
 def queries() -> dict[str, str]:
     sql = {
         "src_messages": _with(
@@ -485,14 +503,17 @@ WHERE year(transaction_time) = 1998 GROUP BY status""",
 SELECT product_id, count(*) AS row_count FROM txn
 WHERE product_id NOT IN (SELECT product_id FROM prd) GROUP BY product_id""",
     )
+    cli = "client_id, first_name, last_name, email, country, city, age, segment, registered_at"
+    prd = "product_id, name, category, sub_category, brand, price, weight_kg, rating, stock"
     sql["store_clean"] = _with(
         TXN + CLI + PRD,
-        """
-SELECT 'transactions' AS entity, count(*) AS row_count, min(transaction_id) AS first_id,
-  max(transaction_id) AS last_id FROM txn
-UNION ALL SELECT 'clients', count(*), min(client_id), max(client_id) FROM cli
-UNION ALL SELECT 'products', count(*), min(product_id), max(product_id) FROM prd""",
+        f"""
+SELECT 'transactions' AS entity, {_row(TXN_COLUMNS, "unit_price total_amount")} AS row FROM txn
+UNION ALL SELECT 'clients', {_row(cli, "")} FROM cli
+UNION ALL SELECT 'products', {_row(prd, "price weight_kg rating")} FROM prd""",
     )
+    for what in ("drop", "label"):
+        sql[f"kpi_orphans_{what}"] = _with(TXN + CLI + PRD, flat_kpis(what))
     sql["store_kpis"] = sql["end_to_end"] = _with(TXN + CLI + PRD, flat_kpis())
     sql["sink_audit"] = _with(
         TXN + CLI + PRD + [_STORED],
@@ -526,4 +547,5 @@ SELECT DISTINCT transaction_id, 1::BIGINT AS row_count, 1::BIGINT AS rows_as_sen
         )
     sql["stream_late_rows"] = late_rows()
     sql["stream_foreach_batch"] = _with(TXN + CLI + PRD, flat_windows())
+    sql["stream_horizon"] = _with(TXN + CLI + PRD, flat_windows(28))
     return sql

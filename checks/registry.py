@@ -264,43 +264,70 @@ def _orphan_keys(spark, sf_dir):
     return orphan_keys(txn, prd, "product_id")
 
 
+#: key, number of orders or units, mean, distinct clients, and name of each KPI; none where it has none
+FLAT = {
+    "kpi_revenue_by_category": ("category", "order_count", "avg_order_value", None, None),
+    "kpi_revenue_by_country": ("country", "order_count", None, "unique_clients", None),
+    "kpi_top_products": ("product_id", "units_sold", None, None, "product_name"),
+    "kpi_customer_segments": ("segment", "order_count", "avg_spend", "unique_clients", None),
+}
+
+
 def _flat(kpis: dict[str, DataFrame]) -> DataFrame:
-    """The KPI tables under one another: their key, revenue, and number sold or ordered."""
-    shape = {
-        "kpi_revenue_by_category": ("category", "order_count"),
-        "kpi_revenue_by_country": ("country", "order_count"),
-        "kpi_top_products": ("product_id", "units_sold"),
-        "kpi_customer_segments": ("segment", "order_count"),
-    }
+    """The KPI tables under one another, with all their columns."""
+    names = {"key": "string", "number": "bigint", "mean": "double", "clients": "bigint", "name": "string"}
     parts = [
         kpis[kpi].select(
             F.lit(kpi).alias("kpi"),
             "window_start",
             "window_end",
-            F.col(key).alias("key"),
             "total_revenue",
-            F.col(count).alias("number"),
+            *(
+                (F.lit(None) if column is None else F.col(column)).cast(kind).alias(name)
+                for column, (name, kind) in zip(columns, names.items())
+            ),
         )
-        for kpi, (key, count) in shape.items()
+        for kpi, columns in FLAT.items()
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
+def _orphans(what: str) -> Query:
+    def run(spark, sf_dir):
+        txn, cli, prd = (cleaned(spark, sf_dir, t) for t in TOPICS)
+        return _flat(compute_all(txn, cli, prd, RUN_TS, orphans=what))
+
+    return run
+
+
+for _what in ("drop", "label"):
+    register(f"kpi_orphans_{_what}", _orphans(_what))
+
+
 @query("store_clean")
 def _store_clean(spark, sf_dir):
     stored = store_clean(
         {t: cleaned(spark, sf_dir, t) for t in TOPICS}, scratch_dir(spark, "lake")
     )
-    counts = [
-        df.agg(
+    # whole rows, as text
+    rows = [
+        df.select(
             F.lit(t).alias("entity"),
-            F.count("*").alias("row_count"),
-            F.min(ENTITIES[t].key).alias("first_id"),
-            F.max(ENTITIES[t].key).alias("last_id"),
+            F.concat_ws("|", *(F.coalesce(_text(df, c), F.lit("null")) for c in df.columns)).alias("row"),
         )
         for t, df in stored.items()
     ]
-    return reduce(DataFrame.unionByName, counts)
+    return reduce(DataFrame.unionByName, rows)
+
+
+def _text(df: DataFrame, column: str) -> Column:
+    """A value as text: numbers in thousandths, since engines write doubles each their own way."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.DoubleType):
+        return F.round(F.col(column) * 1000).cast("bigint").cast("string")
+    if isinstance(kind, T.TimestampType):
+        return F.date_format(column, "yyyy-MM-dd HH:mm:ss")
+    return F.col(column).cast("string")
 
 
 @query("store_kpis")
@@ -310,34 +337,28 @@ def _store_kpis(spark, sf_dir):
     return _flat(store_kpis(kpis, scratch_dir(spark, "lake")))
 
 
-_finished: dict[tuple[str, str], tuple[str, RunResult]] = {}
-
-
-def _run_once(spark, sf_dir) -> tuple[str, RunResult]:
-    """A whole run over the topics, shared by the queries that look at its outcome."""
-    known = (spark.sparkContext.applicationId, sf_dir)
-    if known not in _finished:
-        sources = {t: topic(spark, sf_dir, t) for t in TOPICS}
-        lake = scratch_dir(spark, "lake")
-        _finished[known] = lake, run(spark, Settings(sources, lake, by_date=False), RUN_TS)
-    return _finished[known]
+def _run(spark, sf_dir, dated: bool) -> tuple[str, RunResult]:
+    """A whole run over the topics; ``dated`` is a run's default."""
+    sources = {t: topic(spark, sf_dir, t) for t in TOPICS}
+    lake = scratch_dir(spark, "lake")
+    return lake, run(spark, Settings(sources, lake, by_date=dated), RUN_TS)
 
 
 @query("end_to_end")
 def _end_to_end(spark, sf_dir):
-    return _flat(_run_once(spark, sf_dir)[1].kpis)
+    return _flat(_run(spark, sf_dir, True)[1].kpis)
 
 
 @query("run_summary")
 def _run_summary(spark, sf_dir):
-    return _run_once(spark, sf_dir)[1].summary.select(
+    return _run(spark, sf_dir, False)[1].summary.select(
         "status", "records_ingested", "records_processed", "records_stored", "errors"
     )
 
 
 @query("sink_audit")
 def _sink_audit(spark, sf_dir):
-    lake = _run_once(spark, sf_dir)[0]
+    lake = _run(spark, sf_dir, False)[0]
     # the table's path below the lake; how many files it has is up to the cluster
     return sink_audit(spark, lake).select(
         F.split_part("folder", F.lit(f"{lake.split('/')[-1]}/"), F.lit(2)).alias("folder"),
@@ -490,5 +511,25 @@ def _stream_foreach_batch(spark, sf_dir):
     messages, slice_of = timed_feed(spark, sf_dir, "transactions"), _time_slice(spark, sf_dir, slices)
     for source in _in_slices(messages, slice_of, slices):
         rows = stream_clean(spark, source, "transactions")
-        stream_to_sinks(rows, clients, products, lake, checkpoint).awaitTermination()
+        # every batch has all dates of seven years, few rows each
+        stream_to_sinks(
+            rows, clients, products, lake, checkpoint, log_unit="year"
+        ).awaitTermination()
+    return _flat({kpi: current_kpi(spark, lake, kpi) for kpi in KPI_NAMES})
+
+
+@query("stream_horizon")
+def _stream_horizon(spark, sf_dir):
+    # each id once, so copies lie no time apart, in two batches that share all their windows
+    slices = 2
+    clients, products = (
+        materialize(cleaned(spark, sf_dir, t), t) for t in ("clients", "products")
+    )
+    lake, checkpoint = scratch_dir(spark, "lake"), scratch_dir(spark, "checkpoint")
+    slice_of = F.pmod(F.crc32(F.col("key").cast("binary")), F.lit(slices)).cast("int")
+    for source in _in_slices(_clean_messages(spark, sf_dir), slice_of, slices):
+        rows = stream_clean(spark, source, "transactions")
+        stream_to_sinks(
+            rows, clients, products, lake, checkpoint, width="28 days", horizon="1 hour", log_unit="month"
+        ).awaitTermination()
     return _flat({kpi: current_kpi(spark, lake, kpi) for kpi in KPI_NAMES})

@@ -11,7 +11,7 @@ database gets the touched windows and the batch's ids in place of what it has of
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -23,7 +23,7 @@ from ..schemas import KPI_NAMES, TARGETS
 from ..scratch import store_at
 from ..settings import JdbcTarget
 from ..sinks.jdbc import replace_rows, storable
-from ..sinks.lake import DATE, by_date
+from ..sinks.lake import DATE
 from .log import BATCH, drop_merged, due_merges, parts_of, read_batches, write_batch, write_merged
 
 _ID = ENTITIES["transactions"].key
@@ -67,6 +67,7 @@ def stream_to_sinks(
     trigger: str | None = None,
     jdbc: JdbcTarget | None = None,
     merge_every: int = 64,
+    log_unit: str = "day",
 ) -> StreamingQuery:
     """Start the query; ``trigger`` is its interval, none means all there is, then stop.
 
@@ -74,7 +75,8 @@ def stream_to_sinks(
     ``horizon`` promises that copies of an id lie at most that far apart in event
     time; a batch then reads only the dates that such copies and their windows can be
     on. Without it a batch looks through the ids of the whole lake. Before every
-    ``merge_every``-th batch so many earlier ones are merged.
+    ``merge_every``-th batch so many earlier ones are merged. ``log_unit`` (day, month, year)
+    is what the log is partitioned by: the smallest that still fills a file.
     """
     schema = transactions.schema
     dimensions = {
@@ -87,13 +89,13 @@ def stream_to_sinks(
         for merge in due_merges(batch_id, merge_every):
             _merge(spark, lake, schema, merge, merge_every)
         # one row per id and batch: a hot id adds no more than that to the log
-        batch = by_date(dedup_latest(rows, _ID, _ORDER))
+        batch = dedup_latest(rows, _ID, _ORDER).withColumn(DATE, _date("transaction_time", log_unit))
         batch = write_batch(batch, _rows_path(lake), batch_id, DATE)
         start = F.window("transaction_time", width)["start"].alias("window_start")
 
         log = read_batches(spark, _rows_path(lake), _rows_schema(schema))
         if horizon is not None:
-            log = near(log, batch, horizon, width)
+            log = near(log, batch, horizon, width, log_unit)
         log = log.drop(BATCH, DATE)
         same_id = log.select(_ID, "transaction_time").join(batch.select(_ID), _ID, "left_semi")
         touched = store_at(same_id.select(start).distinct(), f"{lake}/_touched")
@@ -123,7 +125,12 @@ def stream_to_sinks(
     return writer.trigger(processingTime=trigger).start()
 
 
-def near(log: DataFrame, batch: DataFrame, horizon: str, width: str) -> DataFrame:
+def _date(time: str, unit: str) -> Column:
+    """The first date of the unit that a time is in."""
+    return F.date_trunc(unit, time).cast("date")
+
+
+def near(log: DataFrame, batch: DataFrame, horizon: str, width: str, unit: str = "day") -> DataFrame:
     """The dates of the log that copies of the batch's rows and their windows can be on.
 
     Windows that a copy up to one horizon away lies in are touched and needed as a whole;
@@ -134,9 +141,10 @@ def near(log: DataFrame, batch: DataFrame, horizon: str, width: str) -> DataFram
     one = F.expr("interval '1 day'")
     dates = (
         # a day more on both sides: the other end of the date, and other time zones
-        batch.select(F.col(DATE).alias("day"))
+        batch.select(F.to_date("transaction_time").alias("day"))
         .distinct()
         .select(F.explode(F.sequence(F.to_date(day - reach - one), F.to_date(day + reach + one))).alias("day"))
+        .select(_date("day", unit).alias("day"))
         .distinct()
         .collect()
     )
