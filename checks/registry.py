@@ -530,6 +530,6 @@ def _stream_horizon(spark, sf_dir):
     for source in _in_slices(_clean_messages(spark, sf_dir), slice_of, slices):
         rows = stream_clean(spark, source, "transactions")
         stream_to_sinks(
-            rows, clients, products, lake, checkpoint, width="28 days", horizon="1 hour", log_unit="month"
+            rows, clients, products, lake, checkpoint, width="28 days", horizon="1 hour", log_unit="year"
         ).awaitTermination()
     return _flat({kpi: current_kpi(spark, lake, kpi) for kpi in KPI_NAMES})
