@@ -27,7 +27,7 @@ _BATCH = 200_000
 _LOW = -(1 << 63)
 
 
-def _mix(x: np.ndarray, salt: int) -> np.ndarray:
+def _mix(x: np.ndarray, salt: int | np.ndarray) -> np.ndarray:
     x = (x ^ np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15)
     x ^= x >> np.uint64(32)
     x *= np.uint64(0xD6E8FEB86659FD93)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tallywell.llm import langid, lm, packing, queries, simhash, sketch
+from tallywell.llm import langid, lm, near_copies, packing, queries, simhash, sketch
 from tallywell.llm.graph import components
 from tallywell.llm.secrets import scan_secrets
 
@@ -274,3 +274,57 @@ def test_pipeline(spark, plain, texts, docs, empty):
             got = stage(spark, table, plain)
             assert name == "packing" or got.columns == docs.columns
             got.count()
+
+
+def changed(words, n, r):
+    """``n`` words, more than five apart, are others."""
+    out = list(words)
+    for i in range(n):
+        out[10 + i * 15 + r.randrange(5)] = f"x{r.randrange(10**9)}"
+    return out
+
+
+def jaccard(a, b):
+    a, b = ({tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def test_near_copies_of_four_fifths_go(spark):
+    r = random.Random(8)
+    table, stays, k = [], set(), 0
+    for _ in range(30):
+        base = [f"w{r.randrange(10**6)}" for _ in range(200)]
+        table.append((k, base))
+        stays.add(k)
+        for n in (1, 2, 3, 4, 6):
+            k += 1
+            table.append((k, changed(base, n, r)))
+            assert (jaccard(base, table[-1][1]) >= 0.8) == (n < 5)
+            if n > 4 and not any(jaccard(table[-1][1], t) >= 0.8 for _, t in table[-6:-1]):
+                stays.add(k)
+        k += 1
+    docs = spark.createDataFrame([(i, " ".join(t), "s", 1) for i, t in table], "doc_id long, text string, source string, n_chars long")
+    got = corpus_pipeline.near_dedup(spark, docs, "")
+    assert got.columns == docs.columns
+    assert {x.doc_id for x in got.collect()} == stays and len(stays) == 60
+
+
+def test_near_copies_are_components_of_all_pairs(spark):
+    r = random.Random(9)
+    table = []
+    for _ in range(8):
+        base = [f"w{r.randrange(10**6)}" for _ in range(200)]
+        family = [base]
+        for _ in range(14):
+            family.append(changed(r.choice(family), r.choice([1, 2, 4, 7]), r))
+        table += family
+    r.shuffle(table)
+    label = list(range(len(table)))
+    links = [(a, b) for a in label for b in range(a) if jaccard(table[a], table[b]) >= 0.8]
+    for _ in table:
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(table)], "doc_id long, text string")
+    for limit in (0, 1000):
+        kept = near_copies.drop_near_copies(docs, broadcast_rows=limit)
+        assert sorted(x.doc_id for x in kept.collect()) == sorted(set(label)) and 8 < len(set(label)) < 110
