@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from tallywell.llm.common import documents
 from tallywell.llm.line_dedup import drop_site_lines
 from tallywell.llm.mixing import mix_sources
-from tallywell.llm.near_copies import drop_near_copies
 from tallywell.llm.packing import pack
 from tallywell.llm.quality import quality
 from tallywell.llm.queries import tokenizer_path
+from tallywell.llm.simhash import drop_near_duplicates
 from tallywell.scratch import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -38,8 +38,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five words, a similarity of 0.8 or more."""
-    return drop_near_copies(docs)
+    """One document stays of each group that SimHash links: three-word shingles, at most three bits."""
+    return drop_near_duplicates(docs, radius=3)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
