@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,6 +62,21 @@ def map_batches(
     return df.mapInArrow(function, schema)
 
 
+def slices(batches: Iterator[pa.RecordBatch], text: int, size: int) -> Iterator[pa.RecordBatch]:
+    """The batches, cut where the bytes of column ``text`` pass ``size``; a row stays whole.
+
+    What Python makes of a slice is then small, and gone before the next one.
+    """
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < len(batch):
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def uniform(*columns: Column) -> Column:
     """A number strictly between 0 and 1 from a 64-bit hash of the columns."""
     return (F.shiftrightunsigned(F.xxhash64(*columns), 11) + F.lit(0.5)) * F.lit(2.0**-53)

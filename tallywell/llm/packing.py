@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import materialize
-from .common import col, map_batches, number_within
+from .common import col, map_batches, number_within, slices
 
-#: distinct words whose ids a Python worker remembers
-_REMEMBERED = 1_000_000
+#: distinct words whose ids a Python worker remembers, and as many it has not used since
+_REMEMBERED = 150_000
+#: characters of text a Python worker holds at a time, beside one whole text
+_SLICE = 4_000_000
 _SPECIAL = "<|"
 
 
@@ -35,12 +37,14 @@ class WordIds(dict):
     """Ids of stretches of text from one space up to the next, as little-endian bytes.
 
     A space before anything but a space always begins a token of its own, so a text's
-    ids are those of its stretches one after another.
+    ids are those of its stretches one after another. Two generations are kept: what is
+    used moves to the younger one, and when that is full the elder one goes.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        self.elder: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenize = self.tokenizer.model.tokenize
         self.letters = _byte_letters()
@@ -51,24 +55,29 @@ class WordIds(dict):
         return np.array(ids, "<u4").tobytes()
 
     def __missing__(self, stretch: str) -> bytes:
+        head, line, tail = stretch.partition("\n")
+        if head and tail and not head[-1].isspace() and not tail[0].isspace():
+            # a line end between two words is a token of its own; such stretches hardly recur
+            return self[head] + self[line] + self[tail]
         if len(self) >= _REMEMBERED:
+            self.elder = dict(self)
             self.clear()
+        found = self.elder.get(stretch)
+        if found is None:
+            found = self._found(stretch)
+        self[stretch] = found
+        return found
+
+    def _found(self, stretch: str) -> bytes:
         spaced = stretch[:1] == " "
         word = stretch[1:] if spaced else stretch
         if word.isalpha() and len(word) < 100:
             # one stretch of letters is one token before merging
             spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-            found = array("I", [t.id for t in self.tokenize(self.space + spelled if spaced else spelled)]).tobytes()
-        elif word[-1:] in (".", ",") and word[:-1].isalpha():
-            found = self[stretch[:-1]] + self[stretch[-1]]
-        else:
-            head, line, tail = stretch.partition("\n")
-            if head and tail and not head[-1].isspace() and not tail[0].isspace():
-                # a line end between two words is a token of its own; such stretches hardly recur
-                return self[head] + self[line] + self[tail]
-            found = self.encode(stretch)
-        self[stretch] = found
-        return found
+            return array("I", [t.id for t in self.tokenize(self.space + spelled if spaced else spelled)]).tobytes()
+        if word[-1:] in (".", ",") and word[:-1].isalpha():
+            return self[stretch[:-1]] + self[stretch[-1]]
+        return self.encode(stretch)
 
     def ids(self, text: str) -> bytes:
         if "  " in text or _SPECIAL in text:
@@ -101,7 +110,7 @@ def pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _word_ids(path)
-        for batch in batches:
+        for batch in slices(batches, 1, _SLICE):
             of, rows = [], []
             for i, body in enumerate(batch.column(1).to_pylist()):
                 ids = words.ids(body or "") + tail

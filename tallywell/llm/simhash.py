@@ -13,12 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import materialize
-from .common import col, fresh, map_batches
+from .common import col, fresh, map_batches, slices
 from .graph import components
 
 BITS = 64
 #: shingles hashed at a time
 _BLOCK = 1 << 16
+#: bytes of text that become Python's at a time, beside one whole text
+_SLICE = 4_000_000
 #: fingerprints of one bucket that are compared in one go
 BUCKET = 512
 
@@ -52,7 +54,7 @@ def with_fingerprint(docs: DataFrame, text: str = "text", name: str = "simhash",
     schema = docs.withColumn(name, F.lit(0).cast("long")).schema
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, position, _SLICE):
             found = [fingerprint(t, width) for t in batch.column(position).to_pylist()]
             longs = pa.array(np.array(found, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([*batch.columns, longs], names=[*batch.schema.names, name])
