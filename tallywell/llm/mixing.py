@@ -77,8 +77,9 @@ def mix_sources(
     Poisson distribution of its source's rate: the same in every run, whatever the
     partitions. The order is by a hash of key and copy over the whole result.
 
-    Rows of one key in one source have equal numbers of copies, null included; an empty
-    table stays empty; columns named ``copy`` or ``rate`` are replaced.
+    Rows of one key in one source have equal numbers of copies. Rows without a key draw by their text instead, so
+    those of one source and one text have equal numbers. An empty table stays empty; columns named
+    ``copy`` or ``rate`` are replaced.
     """
     docs = docs.drop("copy", "rate")
     table, draws, count, order = fresh(docs, "table", "draws", "count", "order")
@@ -92,7 +93,9 @@ def mix_sources(
     )
 
     def drawn(part: Column) -> Column:
-        return let(uniform(col(key), F.lit(seed), part), lambda u: F.size(F.filter(col(table), lambda p: p <= u)))
+        # rows without a key draw by their text, or all would be kept or go together
+        own = F.when(col(key).isNull(), uniform(col(text), F.lit(-seed), part)).otherwise(uniform(col(key), F.lit(seed), part))
+        return let(own, lambda u: F.size(F.filter(col(table), lambda p: p <= u)))
 
     joined = docs.join(rates, col(source).eqNullSafe(F.col(rates.columns[0])), "left")
     counted = joined.withColumn(
@@ -104,7 +107,7 @@ def mix_sources(
     )
     # the split number parts many copies of one key, should there be any
     return (
-        copies.withColumn(order, F.xxhash64(col(key), F.col("copy"), F.lit(seed + 1)))
+        copies.withColumn(order, F.xxhash64(col(key), F.when(col(key).isNull(), col(text)), F.col("copy"), F.lit(seed + 1)))
         .orderBy(order, F.spark_partition_id())
         .drop(order)
     )

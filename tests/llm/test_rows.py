@@ -5,10 +5,12 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tallywell.llm import queries
+from tallywell.llm import oracle, queries
+from tallywell.llm.common import uniform
 from tallywell.llm.line_dedup import drop_site_lines
 from tallywell.llm.mixing import mix_sources
 from tallywell.llm.quality import quality
@@ -75,6 +77,10 @@ def test_quality_measures(docs, data, empty):
         ("A plain line of words.", False), ("", False), ("No end to this one", True), ("Ends here. Goes on", False),
         ("home | news | sport | mail.", True), ("All rights reserved.", True), ("Wor%%% of### it*** an$$$.", True),
         ("WHAT IS ALL THIS SHOUTING ABOUT.", True), ("You!! there!! stop!! now!!", True), ("In the U.S.A. it is so.", False),
+        ("The new catalog in the hall is open.", False), ("She had to design in haste.", False), ("I assign in class.", False),
+        ("He would read more books that year.", False), ("Click here to read more.", True), ("Copyright © 2019 by us.", True),
+        ("Licensed under the Apache License.", True), ("We had to sign in before the long and weary meeting began.", False),
+        ("Log in.", True), ("DAS WAR EIN GROSSER TAG FÜR ÄLTERE.", True), ("das war ein grosser tag für ältere.", False), ("a | b.", False),
     ],
 )
 def test_line_rules(spark, line, bad):
@@ -83,6 +89,22 @@ def test_line_rules(spark, line, bad):
     assert got.clean_text == ("Another line." if bad else f"{line}\nAnother line.")
 
 
+def by_query(spark, plain, name):
+    """A query's rows and those of its SQL, as counts of tuples, columns in order of name."""
+    got = queries.QUERIES[name](spark, plain)
+    columns = sorted(got.columns)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{plain}/documents.parquet/*.parquet')")
+    want = con.execute(f"SELECT {', '.join(columns)} FROM ({oracle.SQL[name]})").fetchall()
+    return Counter(tuple(r[c] for c in columns) for r in got.collect()), Counter(want)
+
+
+@pytest.mark.parametrize("name", ["op5_quality", "op7_line_dedup", "op11_manifest"])
+def test_queries_are_their_sql(spark, plain, name):
+    got, want = by_query(spark, plain, name)
+    assert got == want
+
+
 def test_documents_that_lose_too_much(spark):
     good, bad = " ".join(f"word{i}" for i in range(60)) + ".", " | ".join(f"menu{i}" for i in range(90))
     rows = [(1, f"{good}\nhome | news | sport | x."), (2, f"{good}\n{bad}")]
@@ -120,6 +142,32 @@ def test_copies_of_a_page_are_no_boilerplate(spark):
     assert got == {i: "copied\nlines" if i < 100 else f"own {i - 100}" for i in [*range(50), *range(100, 150)]}
 
 
+def test_mixing_query_is_a_poisson_count_per_document(spark, plain, texts):
+    """Rates from the bytes, and each document's count where its uniform number falls."""
+    docs = spark.read.parquet(f"{plain}/documents.parquet").withColumn("u", uniform(F.col("doc_id"), F.lit(20), F.lit(0)))
+    rows = docs.collect()
+    size = Counter()
+    for r in rows:
+        size[r.source] += len((r.text or "").encode())
+    total, weight = sum(size.values()), sum(n**0.7 for n in size.values())
+    got = Counter(r.doc_id for r in queries.op6_mixing(spark, plain).collect())
+    for r in rows:
+        rate = size[r.source] ** 0.7 / weight * total / size[r.source]
+        p = below = math.exp(-rate)
+        count = 0
+        while below <= r.u:
+            count += 1
+            p *= rate / count
+            below += p
+        assert got[r.doc_id] == count
+
+
+def test_rows_without_a_key_are_drawn_by_their_text(spark):
+    rows = spark.range(3000).selectExpr("CAST(NULL AS long) AS doc_id", "CONCAT('text ', id) AS text", "'a' AS source")
+    copies = Counter(r.text for r in mix_sources(rows).collect())
+    assert abs(sum(copies.values()) / 3000 - 1) < 0.1 and abs(len(copies) / 3000 - (1 - math.exp(-1))) < 0.05
+
+
 def test_mixing(spark, docs, data, empty):
     ids = spark.range(30_000).selectExpr(
         "id AS doc_id", "'0123456789' AS text", "CASE WHEN id < 20000 THEN 'big' WHEN id < 29000 THEN 'mid' END AS source"
