@@ -4,17 +4,19 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tallywell.llm import langid, lm, packing, queries, simhash, sketch
+from tallywell.llm import langid, lm, packing, queries, secrets, simhash, sketch
 from tallywell.llm.graph import components
 from tallywell.llm.secrets import scan_secrets
 
@@ -174,6 +176,99 @@ def test_peeling_recovers_differences():
     assert only_a.tolist() == [p[0] for p in pairs] and only_b.tolist() == [p[1] for p in pairs]
 
 
+BASE = [
+    (re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), "assign", lambda m: len(m[2]) >= 12),
+    (re.compile("AKIA[A-Z0-9]+"), "access", lambda m: len(m[0]) >= 18),
+    (re.compile("[0-9a-f]+"), "hex", lambda m: len(m[0]) >= 16),
+]
+
+
+def base_by_hand(text):
+    return sorted((m.start(), i, m.end(), kind) for i, (p, kind, ok) in enumerate(BASE) for m in p.finditer(text or "") if ok(m))
+
+
+def battery_by_hand(s, kind):
+    """The three tests, from their definitions."""
+
+    def tail(z):
+        return math.erfc(z / math.sqrt(2)) / 2
+
+    a = secrets.ALPHABETS[kind]
+    k, n, d = len(a.digits), len(s), [a.digits.index(c) for c in s]
+    edges = np.cumsum(a.classes)
+    cls = [int(np.searchsorted(edges, x, side="right")) for x in d]
+    chi = max(0, sum(v * v for v in Counter(d).values()) * k / n - n)
+    uniform = tail(((chi / (k - 1)) ** (1 / 3) - (1 - 2 / 9 / (k - 1))) / math.sqrt(2 / 9 / (k - 1)))
+    q = [c / k for c in a.classes]
+    p, both = 1 - sum(x * x for x in q), sum(x * (1 - x) ** 2 for x in q)
+    spread = math.sqrt((n - 1) * p * (1 - p) + 2 * (n - 2) * (both - p * p))
+    runs = 2 * tail(abs(sum(x != y for x, y in zip(cls, cls[1:])) - (n - 1) * p) / spread)
+    mean = sum(d) / n
+    power = sum((x - mean) ** 2 for x in d)
+    serial = 2 * tail(abs(sum((x - mean) * (y - mean) for x, y in zip(d, d[1:])) / power * math.sqrt(n))) if power else 0
+    return 1 - (1 - min(uniform, runs, serial, 1)) ** 3
+
+
+UP, LOW, NUM = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+FAMILIES = {
+    "hex": (NUM + "abcdef", 32), "HEX": (NUM + "ABCDEF", 20), "base32": (UP + "234567", 32), "base36": (NUM + LOW, 32), "BASE36": (NUM + UP, 32),
+    "base62": (UP + LOW + NUM, 18), "base64": (UP + LOW + NUM + "+/", 24), "letters": (UP + LOW, 40), "lower": (LOW, 64),
+}
+
+
+def test_battery_is_that_of_the_definitions(spark):
+    r = random.Random(3)
+    rows = [(k, "".join(r.choices(a.digits, k=r.randint(a.least, 90)))) for k, a in secrets.ALPHABETS.items() for _ in range(20)]
+    rows += [("random_base62", "getUserAccountNameById2"), ("random_base36", "a" * 30), ("random_letters", "thequickbrownfoxjumpsoverthelazydogandrunsaway" * 2)]
+    table = spark.createDataFrame(rows, "kind string, plain string")
+    for got in table.select("*", secrets.battery(F.col("plain"), F.col("kind")).alias("p")).collect():
+        assert math.isclose(got.p, battery_by_hand(got.plain, got.kind), abs_tol=2e-6), got
+
+
+def test_random_strings_are_found_and_words_are_not(spark):
+    r = random.Random(6)
+    words = sorted(set(re.findall("[a-z]{3,9}", " ".join((m.__doc__ or "") for m in (random, re, hashlib, math, np)).lower())))
+    table = [(name, "".join(r.choices(letters, k=n))) for name, (letters, n) in FAMILIES.items() for _ in range(200)]
+    for _ in range(300):
+        camel = r.choice(words) + "".join(w.capitalize() for w in r.choices(words, k=4))
+        table += [("camel", camel), ("snake", re.sub("([A-Z])", r"_\1", camel).lower()), ("numbered", f"{camel.lower()}{r.randrange(1000)}")]
+    found = Counter()
+    docs = spark.createDataFrame([(i, name, f"x {s}, y") for i, (name, s) in enumerate(table)], "doc_id long, name string, text string")
+    got = scan_secrets(docs).join(docs, "doc_id").collect()
+    for row in got:
+        found[row.name] += any(s.start == 2 and s.end == len(row.text) - 3 and s.place > 2 for s in row.found)
+    assert all(found[name] >= 180 for name in FAMILIES), found
+    assert found["camel"] <= 15 and found["snake"] <= 6 and found["numbered"] <= 6, found
+
+
+def test_a_text_of_many_strings(spark):
+    r = random.Random(7)
+    text = " ".join("".join(r.choices(UP + LOW + NUM, k=20)) for _ in range(8000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    scan_secrets(docs.limit(0)).collect()
+    start = time.time()
+    (row,) = scan_secrets(docs).collect()
+    assert time.time() - start < 8 and sum(s.kind == "random_base62" for s in row.found) > 7200
+
+
+def test_limits_leave_random_strings_alone():
+    even = {b: round(2000 * (10 ** (-b / 20) - 10 ** (-(b + 1) / 20))) for b in range(60)}
+    assert secrets.limit_of(even, 0.05) < 0.01
+    mixed = {**even, 30: even[30] + 500, 50: 900}
+    assert 10 ** (-31 / 20) < secrets.limit_of(mixed, 0.05) <= 0.05
+    assert secrets.limit_of({3: 1}, 0.05) == secrets.limit_of({8: 1}, 0.05) == 0 and secrets.limit_of({100: 1}, 0.05) == 10**-5 and secrets.limit_of({26: 1}, 0.05) == 0.05
+
+
+def test_secret_query(spark, plain, texts):
+    for r in queries.op9_secrets(spark, plain).collect():
+        want = base_by_hand(texts[r.doc_id])
+        n = Counter(kind for *_, kind in want)
+        spans = [f"{kind}:{start}:{end}" for start, _, end, kind in want]
+        assert (r.n_assign, r.n_access, r.n_hex) == (n["assign"], n["access"], n["hex"])
+        assert r.base_sha256 == hashlib.sha256(",".join(spans).encode()).hexdigest()
+        assert [x for x in r.spans.split(",") if not x.startswith("random_") and x] == spans
+
+
 def test_secrets(spark, docs, data, empty):
     r = random.Random(2)
     base64 = "".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=60))
@@ -183,17 +278,12 @@ def test_secrets(spark, docs, data, empty):
         (3, "aB1aB1aB1aB1aB1aB1aB1aB1aB1aB1aB1aB1aB1aB1aB1aB1aB1aB1aB1aB1aB1aB1"), (4, None), (5, ""),
     ]
     got = {r.doc_id: r.found for r in scan_secrets(spark.createDataFrame(table, "doc_id long, text string")).collect()}
-    rules = [
-        (re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), "assign", lambda m: len(m[2]) >= 12),
-        (re.compile("AKIA[A-Z0-9]+"), "access", lambda m: len(m[0]) >= 18),
-        (re.compile("[0-9a-f]+"), "hex", lambda m: len(m[0]) >= 16),
-    ]
-    for k, text in table + [(r[0], r[1]) for r in data if r[0] is not None]:
-        found = got.get(k) if k < 6 and (k, text) in table else None
-        if found is None:
-            continue
-        want = sorted((m.start(), i, m.end(), kind) for i, (p, kind, ok) in enumerate(rules) for m in p.finditer(text or "") if ok(m))
-        assert [(s.start, s.place, s.end, s.kind) for s in found if s.place < 3] == want
+    for k, text in table:
+        assert [(s.start, s.place, s.end, s.kind) for s in got[k] if s.place < 3] == base_by_hand(text)
+    mixed = {r.doc_id: r.found for r in scan_secrets(docs).collect()}
+    for k, text, *_ in data:
+        if k is not None:
+            assert [(s.start, s.place, s.end, s.kind) for s in mixed[k] if s.place < 3] == base_by_hand(text)
     assert any(s.kind == "random_base64" for s in got[1]) and not any(s.place > 2 for s in got[3])
     assert got[4] == got[5] == []
     assert scan_secrets(docs).count() == len(data) and scan_secrets(empty).count() == 0
@@ -215,6 +305,80 @@ def test_languages(spark, docs, data, empty):
     assert {r.lang_pred for r in langid.predict(docs, none).collect()} == {"und"}
 
 
+def test_temperature_is_that_of_smoothed_labels():
+    r = np.random.default_rng(5)
+    # all right: the chance of a mistake is that of one in n + 2, not none
+    sure = np.eye(3)[np.arange(90) % 3] * 0.5
+    t = langid.best_temperature(sure, np.arange(90) % 3)
+    assert math.isclose(langid.softmax(sure[:1] / t).max(), 1 - 1 / 92, rel_tol=1e-3)
+    # labels drawn at a known temperature
+    logits = r.normal(size=(40_000, 4))
+    labels = np.array([r.choice(4, p=p) for p in langid.softmax(logits / 0.4)])
+    assert abs(langid.best_temperature(logits, labels) - 0.4) < 0.03
+    assert langid.best_temperature(np.zeros((0, 3)), np.array([], int)) == 1
+
+
+def ftrl_by_hand(rows, classes, t):
+    """One weight after another."""
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(p, c):
+        if abs(z[p, c]) <= t.l1:
+            return 0.0
+        return -(z[p, c] - math.copysign(t.l1, z[p, c])) / ((t.beta + math.sqrt(n[p, c])) / t.rate + t.l2)
+
+    order = np.random.default_rng(t.seed)
+    for _ in range(t.epochs):
+        for i in order.permutation(len(rows)):
+            label, places, values = rows[i]
+            w = {(p, c): weight(p, c) for p in places for c in range(classes)}
+            e = [math.exp(sum(v * w[p, c] for p, v in zip(places, values))) for c in range(classes)]
+            for c in range(classes):
+                error = e[c] / sum(e) - (c == label)
+                for p, v in zip(places, values):
+                    g = v * error
+                    z[p, c] += g - (math.sqrt(n[p, c] + g * g) - math.sqrt(n[p, c])) / t.rate * w[p, c]
+                    n[p, c] += g * g
+    return {k: weight(*k) for k in list(z)}
+
+
+def test_weights_are_those_of_plain_ftrl():
+    r, t = random.Random(1), langid.Training(bits=5)
+    rows = []
+    for i in range(30):
+        places = sorted(r.sample(range(32), 6))
+        rows.append((i % 3, places, [r.random() for _ in places]))
+    got = langid.train_shard(pd.DataFrame(rows, columns=["label", "places", "values"]).map(lambda x: np.array(x) if isinstance(x, list) else x), 3, t)
+    for (p, c), w in ftrl_by_hand(rows, 3, t).items():
+        assert math.isclose(got[p, c], w, abs_tol=1e-9)
+
+
+def test_language_query(spark, plain, texts):
+    rows = queries.op2_langid(spark, plain).collect()
+    assert {r.doc_id for r in rows} == set(texts)
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        if not any(c.isalpha() for c in texts[r.doc_id] or ""):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+        else:
+            assert r.lang_pred in ("de", "en") and 0.5 <= r.score < 1
+    long = [r for r in rows if r.doc_id < 24]
+    assert sum(r.lang_pred == ("en", "de")[r.doc_id % 2] for r in long) >= 23
+
+
+def test_score_query(spark, plain, texts):
+    rows = queries.op4_lm_scores(spark, plain).collect()
+    assert {r.doc_id: r.held_out for r in rows} == {k: zlib.crc32(str(k).encode()) % 10 == 0 for k in texts}
+    words = {k: [*re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower()), None] for k, t in texts.items()}
+    c = Counter(w for r in rows if not r.held_out for w in words[r.doc_id])
+    n, v = sum(c.values()), len(c)
+    for r in rows:
+        own = words[r.doc_id]
+        base = sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in own)
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(own), sum(c[w] > 0 for w in own), n)
+        assert math.isclose(r.base_score, base, abs_tol=1e-6) and r.score < 0
+
+
 def test_scores(spark, docs, data, empty):
     table = docs.withColumn("learn", F.coalesce(F.col("doc_id"), F.lit(0)) % 4 != 1)
     got = lm.score_texts(table, "learn", parameters=lm.Parameters(symbols=8, frequent=20)).collect()
