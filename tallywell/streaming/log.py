@@ -8,17 +8,29 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.dedup import dedup_latest
+from ..schemas import TARGETS
 from ..sinks.lake import write_parquet
 
 BATCH = "batch_id"
+BUCKET = "bucket"
+#: buckets of a part at most
+_BUCKETS = 1024
 _PLACE = T.StructType([T.StructField(c, T.LongType()) for c in ("level", "first", BATCH)])
 
 
+def kpi_schema(kpi: str) -> T.StructType:
+    """The KPI's columns as computed: decimals are doubles, integers are wide."""
+    kinds = {"string": T.StringType(), "timestamp": T.TimestampType(), "int": T.LongType()}
+    return T.StructType(
+        [T.StructField(f.name, kinds.get(f.type, T.DoubleType())) for f in TARGETS[kpi].written]
+    )
+
+
 def _folder(path: str, level: int, first: int, last: int) -> str:
     return f"{path}/level={level}/first={first}/{BATCH}={last}"
 
@@ -45,6 +57,52 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return _read(spark, path, schema).drop("level", "first")
 
 
+# --- lookup by key ---------------------------------------------------------------
+
+
+def _buckets(level: int, every: int) -> int:
+    return min(_BUCKETS, every**level)
+
+
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def bucketed(rows: DataFrame, key: str, level: int, every: int) -> DataFrame:
+    """Rows with the bucket they go to in a part of a level: as many buckets as the part has batches."""
+    return rows.withColumn(BUCKET, _bucket(key, _buckets(level, every)))
+
+
+def read_buckets(
+    spark: SparkSession, path: str, schema: T.StructType, keys: DataFrame, key: str, last: int, every: int
+) -> DataFrame:
+    """The distinct rows with one of ``keys``, in a log of parts that are bucketed by ``key``.
+
+    Parts of a single batch are read as a whole, of merged parts the buckets that keys fall in. ``last`` is the
+    number of the last batch. The driver sees the numbers of buckets, which are bounded.
+    """
+    rows = in_buckets(spark, path, schema, keys, key, last, every)
+    return rows.join(keys, key, "left_semi").select(*schema.names).distinct()
+
+
+def in_buckets(
+    spark: SparkSession, path: str, schema: T.StructType, keys: DataFrame, key: str, last: int, every: int
+) -> DataFrame:
+    """All rows of the buckets that ``keys`` fall in, and of no other files."""
+    levels = [level for level in range(64) if every**level <= max(last, 1)]
+    places = F.array(
+        *(F.struct(F.lit(n).alias("level"), _bucket(key, _buckets(n, every)).alias("bucket")) for n in levels)
+    )
+    wanted: dict[int, list[int]] = {}
+    for row in keys.select(F.explode(places).alias("place")).select("place.*").distinct().collect():
+        wanted.setdefault(row["level"], []).append(row["bucket"])
+    found = F.lit(False)
+    for level, buckets in wanted.items():
+        found |= (F.col("level") == level) & F.col(BUCKET).isin(buckets)
+    whole = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+    return _read(spark, path, whole).filter(found)
+
+
 # --- merging ------------------------------------------------------------------
 
 
