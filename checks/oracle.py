@@ -428,6 +428,35 @@ FROM {joined.replace("txn", "kept")} GROUP BY ALL"""
     return _with(TXN + dimension + [arrivals], _closed(body, 30))
 
 
+def paced(slices: int = 5) -> str:
+    """What each batch of a run takes in and closes that gets one part of the time span a batch.
+
+    A batch closes the windows that end by the watermark: a day before the latest time of the batches before it.
+    """
+    batches = f"""
+span AS (
+  SELECT min(l_shipdate) AS low, date_diff('day', min(l_shipdate), max(l_shipdate)) // {slices} + 1 AS days
+  FROM lineitem),
+arrived AS (SELECT txn.*, date_diff('day', low, transaction_time) // days AS slice FROM txn, span),
+marks AS (
+  SELECT b, (SELECT max(transaction_time) FROM arrived WHERE slice < b) - INTERVAL 1 DAY AS mark,
+    (SELECT max(transaction_time) FROM arrived WHERE slice < b - 1) - INTERVAL 1 DAY AS before
+  FROM range({slices + 1}) r(b)),
+ends AS (
+  SELECT date_trunc('day', transaction_time) + INTERVAL 1 DAY AS ended, count(*) AS n FROM txn GROUP BY 1),
+closed AS (
+  SELECT b, count(*) AS windows, sum(n)::BIGINT AS n
+  FROM ends JOIN marks ON ended <= mark AND (before IS NULL OR ended > before) GROUP BY b)"""
+    return _with(
+        [*TXN, batches],
+        """
+SELECT b AS batch_id, (SELECT count(*) FROM arrived WHERE slice = b) AS rows_in,
+  coalesce(windows, 0) AS windows_closed, coalesce(n, 0) AS rows_closed
+FROM marks LEFT JOIN closed USING (b)
+WHERE b < (SELECT max(b) FROM marks) OR windows IS NOT NULL""",
+    )
+
+
 def _closed(windows: str, days: int) -> str:
     """Windows that end by the last watermark, ``days`` before the latest time; the stream keeps the open ones back."""
     return f"""
@@ -541,10 +570,12 @@ SELECT 'SUCCESS' AS status, (SELECT count(*) FROM txn_sent) + (SELECT count(*) F
         """
 SELECT DISTINCT transaction_id, 1::BIGINT AS row_count, 1::BIGINT AS rows_as_sent FROM txn_valid""",
     )
-    for name in ("kpi_revenue_by_category", "kpi_revenue_by_country", "kpi_customer_segments"):
+    for name in _KPI_PARTS:
         sql[name.replace("kpi_", "stream_win_")] = _with(
             TXN + _KPI_PARTS[name][3], _closed(daily(name), 1)
         )
+    sql["stream_paced"] = paced()
+    sql["stream_dedup_latest"] = clean("transactions")
     sql["stream_late_rows"] = late_rows()
     sql["stream_foreach_batch"] = _with(TXN + CLI + PRD, flat_windows())
     sql["stream_horizon"] = _with(TXN + CLI + PRD, flat_windows(28))

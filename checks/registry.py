@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,11 +38,17 @@ from tallywell.sinks import by_date, sink_audit, write_parquet
 from tallywell.sources import decode_messages, encode_messages, read_messages, write_messages
 from tallywell.sources.synth import client_rows, product_rows, transaction_rows
 from tallywell.streaming import (
+    closed_top_products,
     current_kpi,
+    latest_updates,
+    read_batches,
     stream_clean,
     stream_dedup,
+    stream_latest,
     stream_to_sinks,
+    stream_top_products,
     stream_windowed_revenue,
+    write_updates,
 )
 
 from .feeds import feed, table, timed_feed, topic
@@ -409,6 +416,10 @@ def _drain(rows: DataFrame, spark: SparkSession, folders: tuple[str, str] | None
     return spark.read.schema(rows.schema).parquet(path)
 
 
+#: files that each slice of a paced topic has, and a paced run takes at a time
+_FILES = 4
+
+
 def _in_slices(messages: DataFrame, slice_of: Column, slices: int) -> Iterator[Source]:
     """Publish messages slice by slice into one topic, pausing after each one."""
     spark = messages.sparkSession
@@ -417,10 +428,16 @@ def _in_slices(messages: DataFrame, slice_of: Column, slices: int) -> Iterator[S
     source = Source("parquet", scratch_dir(spark, "topic-slices"))
     for number in range(slices):
         part = spark.read.parquet(staged).filter(F.col("slice") == number)
-        write_messages(part, source)
+        write_messages(part.repartition(_FILES), source)
         yield source
 
 
+def _paced(messages: DataFrame, slice_of: Column, slices: int) -> Source:
+    """A topic of slices one after another, of which one run takes a slice a batch."""
+    *_, source = _in_slices(messages, slice_of, slices)
+    return replace(source, options={"maxFilesPerTrigger": str(_FILES)})
+
+
 def _time_slice(spark: SparkSession, sf_dir: str, slices: int) -> Column:
     """Which of ``slices`` equal parts of the tables' time span a message is from."""
     low, high = (
@@ -465,10 +482,15 @@ def _clean_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _paced_transactions(spark, messages, slice_of, slices, delay) -> DataFrame:
+    """The first arrival of each id, as one run takes them slice by slice."""
+    rows = stream_clean(spark, _paced(messages, slice_of, slices), "transactions")
+    return stream_dedup(rows, "transaction_id", "transaction_time", delay)
+
+
 def _revenue_by_slices(spark, sf_dir, kpi, messages, slice_of, slices, delay) -> DataFrame:
     """A streaming KPI after all slices, one query run for each slice; windows still open are left out."""
-    name = "products" if kpi == "kpi_revenue_by_category" else "clients"
-    dimension = materialize(cleaned(spark, sf_dir, name), name)
+    dimension = _dimension(spark, sf_dir, kpi)
     folders = scratch_dir(spark, "stream"), scratch_dir(spark, "checkpoint")
     for source in _in_slices(messages, slice_of, slices):
         rows = stream_clean(spark, source, "transactions")
@@ -477,11 +499,17 @@ def _revenue_by_slices(spark, sf_dir, kpi, messages, slice_of, slices, delay) ->
     return closed
 
 
+def _dimension(spark: SparkSession, sf_dir: str, kpi: str) -> DataFrame:
+    name = "products" if kpi in ("kpi_revenue_by_category", "kpi_top_products") else "clients"
+    return materialize(cleaned(spark, sf_dir, name), name)
+
+
 def _stream_win(kpi: str) -> Query:
     def run(spark, sf_dir):
         slices = 3
         messages, slice_of = _clean_messages(spark, sf_dir), _time_slice(spark, sf_dir, slices)
-        return _revenue_by_slices(spark, sf_dir, kpi, messages, slice_of, slices, "1 day")
+        first = _paced_transactions(spark, messages, slice_of, slices, "1 day")
+        return _drain(stream_windowed_revenue(kpi, first, _dimension(spark, sf_dir, kpi)), spark)
 
     return run
 
@@ -490,6 +518,56 @@ for _kpi in ("kpi_revenue_by_category", "kpi_revenue_by_country", "kpi_customer_
     register(_kpi.replace("kpi_", "stream_win_"), _stream_win(_kpi))
 
 
+@query("stream_win_top_products")
+def _stream_win_top_products(spark, sf_dir):
+    slices = 3
+    products = _dimension(spark, sf_dir, "kpi_top_products")
+    messages, slice_of = _clean_messages(spark, sf_dir), _time_slice(spark, sf_dir, slices)
+    first = _paced_transactions(spark, messages, slice_of, slices, "1 day")
+    path, checkpoint = scratch_dir(spark, "stream"), scratch_dir(spark, "checkpoint")
+    with _state_per_core(spark):
+        stream_top_products(first, products, path, checkpoint).awaitTermination()
+    return closed_top_products(spark, path)
+
+
+def _logged(rows: DataFrame, mode: str) -> str:
+    """Run a query over all its input; the log of what each batch put out."""
+    spark = rows.sparkSession
+    path, checkpoint = scratch_dir(spark, "stream"), scratch_dir(spark, "checkpoint")
+    writer = rows.writeStream.outputMode(mode).foreachBatch(write_updates(path)).option("checkpointLocation", checkpoint)
+    with _state_per_core(spark):
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return path
+
+
+@query("stream_paced")
+def _stream_paced(spark, sf_dir):
+    # five batches of one run, and one without rows that closes what the last one lets close
+    slices = 5
+    products = _dimension(spark, sf_dir, "kpi_revenue_by_category")
+    source = _paced(_clean_messages(spark, sf_dir), _time_slice(spark, sf_dir, slices), slices)
+    rows = stream_clean(spark, source, "transactions")
+    closed = stream_windowed_revenue("kpi_revenue_by_category", rows, products, delay="1 day")
+    taken = read_batches(spark, _logged(rows, "append"), rows.schema).groupBy("batch_id").agg(F.count("*").alias("rows_in"))
+    windows = (
+        read_batches(spark, _logged(closed, "append"), closed.schema)
+        .groupBy("batch_id")
+        .agg(F.count_distinct("window_start").alias("windows_closed"), F.sum("order_count").alias("rows_closed"))
+    )
+    return taken.join(windows, "batch_id", "full").na.fill(0)
+
+
+@query("stream_dedup_latest")
+def _stream_dedup_latest(spark, sf_dir):
+    # copies of an id are in different batches, later ones before earlier ones too
+    slices, entity = 3, ENTITIES["transactions"]
+    slice_of = F.pmod(F.crc32(F.col("value").cast("binary")), F.lit(slices)).cast("int")
+    source = _paced(timed_feed(spark, sf_dir, "transactions"), slice_of, slices)
+    rows = stream_clean(spark, source, "transactions")
+    latest = stream_latest(rows, entity.key, entity.order_by)
+    return latest_updates(spark, _logged(latest, "update"), rows.schema, [entity.key])
+
+
 @query("stream_late_rows")
 def _stream_late_rows(spark, sf_dir):
     # orders of seven, fourteen ... units come with the last slice, most of them late

@@ -51,18 +51,18 @@ def windowed_kpi(
         groups = group_totals(totals, dimension, "client_id", "segment", orphans, PERIOD)
         return shape_segments(groups, start, end)
     if kpi == "kpi_top_products":
-        return shape_top(_window_top(transactions, dimension, width, limit, orphans), start, end)
+        totals = product_totals(transactions, width)
+        return shape_top(window_top(totals, dimension, limit, orphans), start, end)
     raise ValueError(f"unknown KPI {kpi!r}, expected one of {', '.join(KPI_NAMES)}")
 
 
-def _window_top(transactions, products, width, limit, orphans):
-    """Rank within each window, then name the winners.
+def window_top(totals: DataFrame, products: DataFrame, limit: int, orphans: str = "keep") -> DataFrame:
+    """Rank the products' totals within each window, then name the winners.
 
     Products of a window are ranked in shares first, and only the first ``limit`` of each
     share meet, so a window may hold any number of products whatever the limit.
     """
     names = marked(products, "product_id", F.col("name").alias("product_name"))
-    totals = product_totals(transactions, width)
     if orphans == "drop":
         totals = resolve_orphans(totals.join(names, "product_id", "left"), "product_name", orphans)
     best = (F.desc("units"), F.asc("product_id"))

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ def stream_dedup(
 
     State is kept for ``delay`` only. Unlike in batch, which keeps the latest copy, a
     later copy cannot take back a row already emitted; copies that differ need
-    :func:`~tallywell.streaming.sinks.stream_to_sinks`.
+    :func:`stream_latest` or :func:`~tallywell.streaming.sinks.stream_to_sinks`.
 
     A stream cannot drop copies before the shuffle. Where one id has very many copies that differ,
     ``salts`` above one first drops equal ones in that many shares, dealt by the whole row, and only
@@ -34,3 +36,18 @@ def stream_dedup(
             .drop("salt")
         )
     return marked.dropDuplicatesWithinWatermark([key])
+
+
+def stream_latest(rows: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
+    """The latest copy of each id, for update mode: a batch puts out the latest row of each id it brings.
+
+    The order is that of :func:`~tallywell.operators.dedup.dedup_latest`: greatest by ``order_by``, then by the other columns, nulls
+    last. State holds one row per id, whatever the number of copies, and drops none: a correction may come
+    after any time. Copies meet as one row per task. What comes out replaces what came out for that id before, which is how a later copy takes an earlier one back;
+    :func:`~tallywell.streaming.log.write_updates` logs it so and :func:`~tallywell.streaming.log.latest_updates` reads it.
+    """
+    rest = [c for c in rows.columns if c not in (key, *order_by)]
+    ordered = [*order_by, *rest]
+    # a struct's null fields are its least
+    best = rows.groupBy(key).agg(F.max(F.struct(*ordered)).alias("latest"))
+    return best.select(*(F.col(key) if c == key else F.col(f"latest.{c}") for c in rows.columns))

@@ -3,18 +3,22 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tallywell.operators import clean_transactions, windowed_kpi
+from tallywell.operators import ENTITIES, clean_transactions, windowed_kpi
 from tallywell.schemas import KPI_NAMES
 from tallywell.settings import Source
 from tallywell.sources import read_messages
-from tallywell.streaming import sinks
+from tallywell.streaming import log, sinks
 from tallywell.streaming import (
+    closed_top_products,
     current_kpi,
     current_transactions,
     latest_updates,
+    read_batches,
     stream_clean,
     stream_dedup,
+    stream_latest,
     stream_to_sinks,
+    stream_top_products,
     stream_windowed_revenue,
     write_updates,
 )
@@ -221,7 +225,7 @@ def test_windows_stay_while_a_batch_works(spark, tmp_path, dimensions, monkeypat
     monkeypatch.setattr(sinks, "write_batch", watched)
     topic.publish(sale("b", "P1", "00:20", 2.0))
     drain(spark, topic, dimensions, tmp_path)
-    assert len(seen) == 6 and set(seen) == {1}
+    assert len(seen) == 8 and set(seen) == {1}
 
 
 def test_batches_are_merged(spark, tmp_path, dimensions):
@@ -241,6 +245,101 @@ def test_batches_are_merged(spark, tmp_path, dimensions):
     assert parts == {(0, 4, 4), (0, 5, 5), (0, 6, 6), (1, 0, 1), (1, 2, 3), (1, 4, 5), (2, 0, 3)}
 
 
+def on(day, id, time="00:10", amount=1.0, product="P1"):
+    return message(
+        "transactions", transaction_id=id, product_id=product, client_id="C1",
+        quantity=1, unit_price=amount, transaction_time=f"2024-{day}T{time}:00Z",
+    )
+
+
+@pytest.mark.parametrize("unit", ["day", "month"])
+def test_copies_far_apart_are_found_by_the_index(spark, tmp_path, dimensions, monkeypatch, unit):
+    """Any order of copies, merged two by two; a batch lists the dates of its own ids and windows only."""
+    topic, listed, dates = Topic(tmp_path), [], sinks.on_dates
+
+    def noted(log, found):
+        listed.append({r[0].strftime("%m-%d") for r in found.select(sinks.DATE).distinct().collect()})
+        return dates(log, found)
+
+    monkeypatch.setattr(sinks, "on_dates", noted)
+    batches = [
+        [on("01-05", "a"), on("01-05", "b", "00:20"), on("03-01", "c")],
+        [on("02-10", "a"), on("01-05", "d", "00:30")],  # a leaves its first window
+        [on("01-20", "a", amount=3.0), on("06-01", "e")],  # an older copy, on a date of its own
+        [on("01-05", "f", "00:40")],  # touches the window that a has left
+        [on("12-24", "a"), on("01-05", "b", "00:25")],
+        [on("02-10", "g"), on("01-20", "h")],  # and those it has left since
+        [on("03-01", "c", "00:15"), on("03-01", "c", "00:15")],
+    ]
+    for values in batches:
+        topic.publish(*values)
+        listed.clear()
+        schema = drain(spark, topic, dimensions, tmp_path, merge_every=2, log_unit=unit)
+        assert_equals_batch(spark, topic, dimensions, tmp_path, schema)
+    if unit == "day":
+        # the dates of c, then a day more on both sides of its window
+        assert listed == [{"03-01"}, {"02-29", "03-01", "03-02"}]
+
+
+def test_few_files_of_a_long_index_are_read(spark, tmp_path):
+    ids = spark.range(6400).select(F.format_string("id%d", "id").alias("transaction_id"), F.lit("2024-01-01").cast("date").alias("transaction_date"))
+    path, schema, every = str(tmp_path / "index"), ids.schema, 8
+    # 64 batches merged twice, eight merged once, and two batches
+    log.write_merged(log.bucketed(ids, "transaction_id", 2, every), path, (1, 0, 63), log.BUCKET)
+    log.write_merged(log.bucketed(ids, "transaction_id", 1, every), path, (0, 64, 71), log.BUCKET)
+    for batch in (72, 73):
+        log.write_batch(log.bucketed(ids.limit(10).coalesce(1), "transaction_id", 0, every), path, batch, log.BUCKET)
+    files = spark.read.schema(schema).parquet(path).select(F.input_file_name()).distinct().count()
+    some = ids.filter("transaction_id IN ('id7', 'id4000')").union(ids.limit(1).select(F.lit("none"), "transaction_date"))
+    read = log.in_buckets(spark, path, schema, some, "transaction_id", 73, every)
+    assert files >= 64 + 8 + 2 and read.select(F.input_file_name()).distinct().count() <= 3 + 3 + 2
+    found = log.read_buckets(spark, path, schema, some, "transaction_id", 73, every)
+    assert sorted(r.transaction_id for r in found.collect()) == ["id4000", "id7"]
+
+
+def test_top_products_as_windows_close(spark, tmp_path, dimensions):
+    topic, out, checkpoint = Topic(tmp_path, maxFilesPerTrigger="1"), str(tmp_path / "out"), tmp_path / "checkpoint"
+    topic.publish(*(sale(f"a{i}", f"Q{i}", "00:10", 1.0, quantity=i % 3) for i in range(9)), sale("n", "P1", "00:20", 5.0, quantity=2))
+    topic.publish(sale("late", "P2", "00:30", 1.0, quantity=9), sale("b", "P2", "03:00", 2.0))
+    topic.publish(sale("lost", "P1", "00:40", 1.0, quantity=9), sale("c", "P1", "07:00", 2.0))
+
+    def run():
+        rows = stream_clean(spark, topic.source, "transactions")
+        stream_top_products(rows, dimensions[1], out, str(checkpoint), "1 hour", 4, delay="1 hour").awaitTermination()
+        got = closed_top_products(spark, out).withColumn("hour", F.hour("window_start"))
+        return sorted((r.hour, -r.units_sold, r.product_id, r.product_name, r.total_revenue) for r in got.collect())
+
+    want = [(0, -9, "P2", "Novel", 9.0), (0, -2, "P1", "Brick", 10.0), (0, -2, "Q2", None, 2.0), (0, -2, "Q5", None, 2.0), (3, -1, "P2", "Novel", 2.0)]
+    assert run() == want
+    # a batch that failed at its end comes again
+    last = max(int(p.name) for p in (checkpoint / "commits").iterdir() if p.name.isdigit())
+    for name in (f"{last}", f".{last}.crc"):
+        (checkpoint / "commits" / name).unlink()
+    topic.publish(sale("d", "P1", "20:00", 2.0))
+    assert run() == [*want, (7, -1, "P1", "Brick", 2.0)]
+
+
+def test_the_latest_copy_wins_in_state(spark, tmp_path):
+    topic = Topic(tmp_path, maxFilesPerTrigger="1")
+    topic.publish(sale("a", "P1", "05:00", 1.0), sale("b", "P1", "05:00", 1.0), sale("b", "P2", "05:00", 1.0))
+    topic.publish(sale("a", "P1", "03:00", 2.0), sale("b", "P1", "04:00", 9.0), sale("c", None, "01:00", 1.0), sale("c", "P1", "01:00", 1.0))
+    topic.publish(sale("a", "P2", "07:00", 3.0), "broken")
+    rows, entity = stream_clean(spark, topic.source, "transactions"), ENTITIES["transactions"]
+    updates = str(tmp_path / "updates")
+    query = (
+        stream_latest(rows, entity.key, entity.order_by)
+        .writeStream.outputMode("update")
+        .foreachBatch(write_updates(updates))
+        .option("checkpointLocation", str(tmp_path / "checkpoint"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    final = latest_updates(spark, updates, rows.schema, [entity.key])
+    clean = clean_transactions(read_messages(spark, topic.source))
+    assert sorted(final.collect(), key=str) == sorted(clean.collect(), key=str) and final.columns == clean.columns
+
+
 def test_only_near_dates_are_read(spark, tmp_path):
     rows = spark.sql(
         "SELECT id, timestampadd(DAY, id, timestamp'2024-01-01') AS transaction_time, "
