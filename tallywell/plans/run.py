@@ -3,21 +3,20 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, MutableMapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import clean_clients, clean_products, clean_transactions
 from ..operators.conform import conform_to_target
 from ..operators.kpis import compute_all
-from ..schemas import KPI_NAMES, TARGETS, TOPICS
-from ..scratch import store_at
+from ..schemas import TARGETS, TOPICS
 from ..settings import Settings
 from ..sinks.jdbc import write_jdbc
-from ..sinks.lake import write_parquet
+from ..sinks.lake import rows_of, write_parquet
 from ..sources.messages import read_messages
 from .store import store_clean, store_kpis
 
@@ -72,19 +71,27 @@ def run_summary(
     return spark.range(1).select(*values)
 
 
-def land(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
-    """The messages of all topics as one fixed snapshot.
+def land(
+    spark: SparkSession, settings: Settings, counts: MutableMapping[str, int] | None = None
+) -> dict[str, DataFrame]:
+    """The messages of all topics as one fixed snapshot; ``counts`` gets their numbers.
 
     A topic moves on between actions, so it is written down once, in place of the
-    last run's snapshot, and counted and cleaned from there. A Parquet folder's
-    listing is fixed when it is opened.
+    last run's snapshot, counted as it is written, and cleaned from there. A Parquet folder's
+    listing is fixed when it is opened, and its files say how many rows they hold.
     """
     raw = {}
     for topic in TOPICS:
         source = settings.sources[topic]
         messages = read_messages(spark, source)
         if source.kind != "parquet":
-            messages = store_at(messages, f"{settings.lake}/_raw/{topic}")
+            path, counted = f"{settings.lake}/_raw/{topic}", Observation()
+            write_parquet(messages, path, counted=counted)
+            messages, rows = spark.read.schema(messages.schema).parquet(path), rows_of(counted)
+        elif counts is not None:
+            rows = messages.count()
+        if counts is not None:
+            counts[topic] = rows
         raw[topic] = messages
     return raw
 
@@ -97,18 +104,21 @@ def run(
 ) -> RunResult:
     """Everything in the topics to clean tables and KPIs in the lake and database.
 
-    All counts are read from what was written, so task retries cannot inflate them.
+    Rows are counted by the tasks that write them; no table is read again for it, and tasks that are
+    tried again do not inflate the counts.
     """
     run_id = run_id or f"run-{uuid.uuid4().hex}"
     started = _now()
     ingested = processed = stored = 0
     try:
-        raw = land(spark, settings)
-        ingested = sum(df.count() for df in raw.values())
+        counts: dict[str, int] = {}
+        raw = land(spark, settings, counts)
+        ingested = sum(counts.values())
 
         frames = {topic: CLEANERS[topic](raw[topic]) for topic in TOPICS}
-        clean = store_clean(frames, settings.lake, settings.jdbc, settings.by_date)
-        processed = sum(df.count() for df in clean.values())
+        counts = {}
+        clean = store_clean(frames, settings.lake, settings.jdbc, settings.by_date, counts)
+        processed = sum(counts.values())
 
         kpis = compute_all(
             *(clean[t] for t in TOPICS),
@@ -116,8 +126,8 @@ def run(
             limit=settings.top,
             share=f"{settings.lake}/_totals",
         )
-        kpis = store_kpis(kpis, settings.lake, settings.jdbc)
-        stored = processed + sum(kpis[name].count() for name in KPI_NAMES)
+        kpis = store_kpis(kpis, settings.lake, settings.jdbc, counts)
+        stored = sum(counts.values())
     except Exception as error:
         # the log entry must not hide what went wrong
         note = f"{type(error).__name__}: {str(error).splitlines()[0] if str(error) else ''}"

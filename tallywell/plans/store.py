@@ -2,22 +2,25 @@
 
 A frame is evaluated once, by the write to the lake. Everything later, the database
 included, works from the stored copy; nothing is cached, so a lost executor costs a
-re-read and the two copies are the same.
+re-read and the two copies are the same. That write also counts the rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, MutableMapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from ..settings import JdbcTarget
 from ..sinks.jdbc import storable, write_jdbc
-from ..sinks.lake import DATE, by_date, write_parquet
+from ..sinks.lake import DATE, by_date, rows_of, write_parquet
 
 
-def _store(df, path, table, jdbc, partition_by=None) -> DataFrame:
-    write_parquet(df, path, partition_by=partition_by)
+def _store(df, path, table, jdbc, counts, partition_by=None) -> DataFrame:
+    counted = None if counts is None else Observation()
+    write_parquet(df, path, partition_by=partition_by, counted=counted)
+    if counted is not None:
+        counts[table] = rows_of(counted)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     if jdbc is not None:
         write_jdbc(storable(stored, table), table, jdbc, mode="overwrite")
@@ -29,22 +32,26 @@ def store_clean(
     lake: str,
     jdbc: JdbcTarget | None = None,
     dated_lake: bool = False,
+    counts: MutableMapping[str, int] | None = None,
 ) -> dict[str, DataFrame]:
     """Store the clean tables under their topic names; returns the stored copies.
 
-    ``dated_lake`` partitions the transactions by date.
+    ``dated_lake`` partitions the transactions by date. ``counts`` gets the number of rows of each table.
     """
     stored = {}
     for topic, df in frames.items():
         dated = dated_lake and topic == "transactions"
         stored[topic] = _store(
-            by_date(df) if dated else df, f"{lake}/{topic}", topic, jdbc, DATE if dated else None
+            by_date(df) if dated else df, f"{lake}/{topic}", topic, jdbc, counts, DATE if dated else None
         )
     return stored
 
 
 def store_kpis(
-    kpis: Mapping[str, DataFrame], lake: str, jdbc: JdbcTarget | None = None
+    kpis: Mapping[str, DataFrame],
+    lake: str,
+    jdbc: JdbcTarget | None = None,
+    counts: MutableMapping[str, int] | None = None,
 ) -> dict[str, DataFrame]:
-    """Store KPI tables under ``kpis/``; returns the stored copies."""
-    return {name: _store(df, f"{lake}/kpis/{name}", name, jdbc) for name, df in kpis.items()}
+    """Store KPI tables under ``kpis/``; returns the stored copies. ``counts`` gets their numbers of rows."""
+    return {name: _store(df, f"{lake}/kpis/{name}", name, jdbc, counts) for name, df in kpis.items()}

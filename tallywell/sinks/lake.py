@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 DATE = "transaction_date"
@@ -21,23 +21,36 @@ def write_parquet(
     mode: str = "overwrite",
     partition_by: str | Sequence[str] | None = None,
     touched_only: bool = False,
+    counted: Observation | None = None,
 ) -> None:
     """Write a folder, replacing what it holds unless ``mode`` says otherwise.
 
     With ``partition_by`` rows are first brought together by partition value, so that
     a value gets few files; a value too large for one task is split over several.
     ``touched_only`` makes an overwrite replace only the partitions ``df`` has rows for.
+    ``counted`` gets the number of ``rows`` as they are written, see :func:`rows_of`. It is taken by the tasks
+    that write, of which each counts once, whether it is tried again or done twice.
     """
     if partition_by is None:
         if touched_only:
             raise ValueError("touched_only needs partition_by")
-        df.write.mode(mode).parquet(path)
+        _counted(df, counted).write.mode(mode).parquet(path)
         return
     columns = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     (
-        df.hint("rebalance", *columns)
+        _counted(df.hint("rebalance", *columns), counted)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic" if touched_only else "static")
         .partitionBy(*columns)
         .parquet(path)
     )
+
+
+def _counted(df: DataFrame, counted: Observation | None) -> DataFrame:
+    """With a count of its rows, after the last shuffle: what comes before one may be done again for lost executors."""
+    return df if counted is None else df.observe(counted, F.count(F.lit(1)).alias("rows"))
+
+
+def rows_of(counted: Observation) -> int:
+    """How many rows were written; none are seen of a table that is known to be empty."""
+    return int(counted.get.get("rows") or 0)

@@ -1,4 +1,9 @@
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tallywell.__main__ import main
@@ -7,6 +12,7 @@ from tallywell.plans import run, start_stream
 from tallywell.schemas import KPI_NAMES, TARGETS, TOPICS
 from tallywell.session import recommended_conf
 from tallywell.settings import Settings, Source
+from tallywell.sinks.lake import rows_of, write_parquet
 from tallywell.sources import (
     encode_messages,
     read_messages,
@@ -69,6 +75,60 @@ def test_batch_run(spark, sources, tmp_path):
     assert {r.run_id for r in log.collect()} == {"first", "second"}
 
 
+def test_rows_are_counted_as_they_are_written(spark, sources, tmp_path, monkeypatch):
+    def second_look(self):
+        raise AssertionError("a table is read again to be counted")
+
+    monkeypatch.setattr(type(spark.range(1)), "count", second_look)
+    result = run(spark, Settings(sources, str(tmp_path), by_date=False))
+    monkeypatch.undo()
+    row = result.summary.first()
+    stored = sum(df.count() for df in [*result.clean.values(), *result.kpis.values()])
+    assert (row.records_ingested, row.records_processed, row.records_stored) == (481, 480, stored)
+
+
+@pytest.mark.parametrize("partition_by", [None, "part"])
+def test_rows_of_tables_with_few_rows(spark, tmp_path, partition_by):
+    for n in (0, 3):
+        counted = Observation()
+        rows = spark.range(10).filter(F.col("id") < n).withColumn("part", F.col("id") % 2)
+        write_parquet(rows, str(tmp_path / str(n)), partition_by=partition_by, counted=counted)
+        assert rows_of(counted) == n
+    counted = Observation()
+    write_parquet(spark.createDataFrame([], "id long, part long"), str(tmp_path / "none"), partition_by=partition_by, counted=counted)
+    assert rows_of(counted) == 0
+
+
+RETRIED = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from pyspark import TaskContext
+from pyspark.sql import Observation
+from checks.session import local_session
+from tallywell.sinks.lake import rows_of, write_parquet
+
+spark = local_session("2,3", 2)
+
+def fails_at_first(batches):
+    yield from batches
+    if TaskContext.get().attemptNumber() == 0:
+        raise RuntimeError("lost")
+
+rows = spark.range(0, 1000, 1, 4).mapInArrow(fails_at_first, "id long")
+for name, by in (("flat", None), ("dealt", "part")):
+    counted = Observation()
+    table = rows.withColumn("part", rows.id % 3)
+    write_parquet(table, f"{sys.argv[2]}/{name}", partition_by=by, counted=counted)
+    print("COUNTED", rows_of(counted), spark.read.parquet(f"{sys.argv[2]}/{name}").count())
+"""
+
+
+def test_tasks_that_are_tried_again_count_once(tmp_path):
+    root = str(Path(__file__).resolve().parents[1])
+    done = subprocess.run([sys.executable, "-c", RETRIED, root, str(tmp_path)], capture_output=True, text=True, timeout=240)
+    assert done.stdout.count("COUNTED 1000 1000") == 2, done.stderr[-2000:]
+
+
 def test_all_target_tables_are_filled(spark, sources, tmp_path, writes):
     run(spark, Settings(sources, str(tmp_path), jdbc=TARGET, by_date=False))
     modes = {w["table"]: "overwrite" if ("overwrite",) in w["told"] else "append" for w in writes}
