@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import TARGETS
-from ..sources.codec import decode_messages
+from ..sources.codec import checked_messages, decode_messages
 from .clean import ENTITIES, is_valid
 from .conform import fit
 
@@ -32,6 +32,31 @@ def stage_counts(raw: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def reject_counts(raw: Mapping[str, DataFrame]) -> DataFrame:
+    """Per topic: messages read, kept and rejected as a whole, and fields rejected for their type.
+
+    ``entity``, ``field`` (null but for fields), ``reason`` and ``row_count``. Reasons are ``read``, ``kept``, and those of
+    :func:`~tallywell.sources.codec.checked_messages`; kept and rejected messages together are those read. One
+    pass over the messages, summed where they are read.
+    """
+    counts = []
+    for topic, messages in raw.items():
+        checked = checked_messages(messages, ENTITIES[topic].schema)
+        none = F.lit(None).cast("string")
+        notes = F.array(
+            F.struct(none.alias("field"), F.lit("read").alias("reason")),
+            F.when(F.col("row").isNotNull(), F.struct(none.alias("field"), F.lit("kept").alias("reason"))),
+        )
+        wrong = F.transform("rejects", lambda r: F.struct(r["field"].alias("field"), r["reason"].alias("reason")))
+        noted = checked.select(F.inline(F.concat(F.array_compact(notes), wrong)))
+        counts.append(
+            noted.groupBy("field", "reason")
+            .agg(F.count("*").alias("row_count"))
+            .select(F.lit(topic).alias("entity"), "field", "reason", "row_count")
+        )
+    return reduce(DataFrame.unionByName, counts)
+
+
 def target_violations(df: DataFrame, table: str) -> DataFrame:
     """Rows that break each rule of a target table; rules nobody breaks are left out.
 

@@ -1,11 +1,21 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tallywell.operators import reject_counts
 from tallywell.schemas import CLIENT, TRANSACTION
 from tallywell.settings import Settings, Source
-from tallywell.sources import decode_messages, encode_messages, read_messages, write_messages
+from tallywell.sources import (
+    accepted,
+    checked_messages,
+    decode_messages,
+    encode_messages,
+    read_messages,
+    rejected,
+    write_messages,
+)
 
-from .conftest import message, raw
+from .conftest import message, plan, raw
 
 
 @pytest.mark.parametrize("kind", ["json", "text", "parquet"])
@@ -107,3 +117,46 @@ def test_kafka_reader_options(spark):
         "kafka.group.id": "g",
     }
     assert [tuple(r) for r in rows] == [("k", "v")]
+
+
+SMALL = "id string, n int, x double"
+
+
+@pytest.mark.parametrize(
+    ("value", "row", "wrong"),
+    [
+        (None, None, [(None, "empty", None)]),
+        ("", None, [(None, "empty", "")]),
+        ("not json", None, [(None, "no object", "not json")]),
+        ("[]", None, [(None, "no object", "[]")]),
+        ("7", None, [(None, "no object", "7")]),
+        ("null", None, [(None, "no object", "null")]),
+        ('[{"id":"a"}]', None, [(None, "no object", '[{"id":"a"}]')]),
+        ('{"id":"a","n":1', None, [(None, "no object", '{"id":"a","n":1')]),
+        ("{}", (None, None, None), []),
+        ('{"id":"a","n":1,"x":1.5,"more":[1]}', ("a", 1, 1.5), []),
+        ('{"id":7,"n":null}', ("7", None, None), []),
+        ('{"id":"a","n":"three","x":true}', ("a", None, None), [("n", "type", "three"), ("x", "type", "true")]),
+        ('{"id":"a","n":2.0,"x":3}', ("a", None, 3.0), [("n", "type", "2.0")]),
+        (' {"n":99999999999}', (None, None, None), [("n", "type", "99999999999")]),
+    ],
+)
+def test_what_is_wrong_with_a_message(spark, value, row, wrong):
+    schema = T.StructType.fromDDL(SMALL)
+    messages = spark.createDataFrame([(value, "k")], "value string, reason string")
+    checked = checked_messages(messages, schema)
+    (got,) = checked.collect()
+    assert (got.row and tuple(got.row), [tuple(r) for r in got.rejects]) == (row, wrong)
+    (plain,) = decode_messages(messages, schema).collect()
+    assert [tuple(plain)] == ([tuple(r) for r in accepted(checked).collect()] or [(None,) * 3])
+    assert sorted(map(str, ((r.field, r.reason, r.text) for r in rejected(checked).collect()))) == sorted(map(str, wrong))
+
+
+def test_rejects_are_counted_in_one_parse(spark):
+    values = ["broken", None, message("transactions"), message("transactions", quantity="x"), message("transactions", quantity=True, status={})]
+    raw_rows = raw(spark, *values)
+    counted = reject_counts({"transactions": raw_rows})
+    got = {(r.field, r.reason): r.row_count for r in counted.collect()}
+    assert got == {(None, "read"): 5, (None, "kept"): 3, (None, "no object"): 1, (None, "empty"): 1, ("quantity", "type"): 2}
+    assert plan(reject_counts({"transactions": raw_rows})).count("from_json") == 1
+    assert reject_counts({"clients": raw_rows.limit(0)}).count() == 0
