@@ -7,6 +7,7 @@ from .clean import (
 )
 from .conform import conform_to_target
 from .dedup import dedup_latest
+from .distinct import client_sketches, distinct_clients, merged_sketches, relative_error
 from .kpis import (
     client_totals,
     compute_all,
@@ -17,7 +18,7 @@ from .kpis import (
     revenue_by_country,
     top_products,
 )
-from .quality import orphan_keys, stage_counts, target_violations
+from .quality import orphan_keys, reject_counts, stage_counts, target_violations
 from .windows import windowed_kpi
 
 __all__ = [
@@ -25,14 +26,19 @@ __all__ = [
     "clean_clients",
     "clean_products",
     "clean_transactions",
+    "client_sketches",
     "client_totals",
     "compute_all",
     "conform_to_target",
     "customer_segments",
     "dedup_latest",
+    "distinct_clients",
     "kpi_row_counts",
+    "merged_sketches",
     "orphan_keys",
     "product_totals",
+    "reject_counts",
+    "relative_error",
     "revenue_by_category",
     "revenue_by_country",
     "stage_counts",
