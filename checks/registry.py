@@ -19,10 +19,15 @@ from tallywell.operators import (
     clean_clients,
     clean_products,
     clean_transactions,
+    client_sketches,
     compute_all,
     customer_segments,
     dedup_latest,
+    distinct_clients,
     kpi_row_counts,
+    merged_sketches,
+    reject_counts,
+    relative_error,
     revenue_by_category,
     revenue_by_country,
     stage_counts,
@@ -165,6 +170,19 @@ def _dedup_latest_rows(spark, sf_dir):
     return dedup_latest(rows, "transaction_id", ENTITIES["transactions"].order_by)
 
 
+@query("decode_rejects")
+def _decode_rejects(spark, sf_dir):
+    # more that is broken: messages cut short, fields of another type
+    order = F.regexp_extract("key", r"TXN-(\d+)-", 1).try_cast("bigint")
+    value = (
+        F.when(order % 131 == 0, F.substring("value", 1, 20))
+        .when(order % 127 == 0, F.regexp_replace("value", r'"quantity":\d+', '"quantity":"many"'))
+        .when(order % 137 == 0, F.regexp_replace("value", r'"unit_price":[^,}]+', '"unit_price":true'))
+        .otherwise(F.col("value"))
+    )
+    return reject_counts({"transactions": feed(spark, sf_dir, "transactions").withColumn("value", value)})
+
+
 @query("run_counts")
 def _run_counts(spark, sf_dir):
     return stage_counts({topic: feed(spark, sf_dir, topic) for topic in TOPICS})
@@ -363,6 +381,34 @@ def _run_summary(spark, sf_dir):
     )
 
 
+@query("incremental_run")
+def _incremental_run(spark, sf_dir):
+    # the first run takes in half of the transactions' time, the second one the rest
+    lake, slices, ingested = scratch_dir(spark, "lake"), 2, []
+    messages, slice_of = timed_feed(spark, sf_dir, "transactions"), _time_slice(spark, sf_dir, slices)
+    others = {t: topic(spark, sf_dir, t) for t in ("clients", "products")}
+    for number, source in enumerate(_in_slices(messages, slice_of, slices), 1):
+        settings = Settings({"transactions": source, **others}, lake, by_date=False, incremental=True)
+        with _state_per_core(spark):
+            result = run(spark, settings, RUN_TS)
+        ingested.append(result.summary.select(F.lit(f"run {number}").alias("kpi"), F.col("records_ingested").alias("number")))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [_flat(result.kpis), *ingested])
+
+
+@query("distinct_clients_merged")
+def _distinct_clients_merged(spark, sf_dir):
+    txn = cleaned(spark, sf_dir, "transactions")
+    # kept per day; quarters are made of the days, not of the transactions
+    days = materialize(client_sketches(txn, "day"), "sketches")
+    found = distinct_clients(merged_sketches(days, "quarter"))
+    exact = txn.groupBy(F.date_trunc("quarter", "transaction_time").alias("period")).agg(
+        F.count_distinct("client_id").alias("exact_clients")
+    )
+    bound = F.greatest(F.lit(1.0), F.col("exact_clients") * relative_error())
+    within = (F.abs(F.col("unique_clients") - F.col("exact_clients")) <= bound).alias("within_bound")
+    return found.join(exact, "period").select("period", "exact_clients", "orders", within)
+
+
 @query("sink_audit")
 def _sink_audit(spark, sf_dir):
     lake = _run(spark, sf_dir, False)[0]

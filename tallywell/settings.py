@@ -48,7 +48,8 @@ class JdbcTarget:
 class Settings:
     """A whole run: three sources, the lake, and (if given) the database.
 
-    ``by_date`` partitions the lake's transactions by date. ``trigger``, ``window``,
+    ``by_date`` partitions the lake's transactions by date. ``incremental`` makes a run read
+    only what came since the last one. ``trigger``, ``window``,
     ``horizon`` and ``checkpoint`` are for streams.
     """
 
@@ -61,6 +62,7 @@ class Settings:
     horizon: str | None = None
     top: int = 20
     by_date: bool = True
+    incremental: bool = False
 
     def __post_init__(self):
         missing = [t for t in TOPICS if t not in self.sources]

@@ -150,6 +150,27 @@ def drop_merged(spark: SparkSession, path: str, merge: tuple[int, int, int], eve
         files.delete(_path(spark, _folder(path, level, start, start + step - 1)), True)
 
 
+def last_complete(spark: SparkSession, path: str) -> int | None:
+    """The number of the last batch that was written in full, of a log that is not merged."""
+    found = _complete(spark, path)
+    return max(found) if found else None
+
+
+def _complete(spark: SparkSession, path: str) -> list[int]:
+    pattern = _path(spark, f"{path}/level=0/first=*/{BATCH}=*/_SUCCESS")
+    files = pattern.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return [int(f.getPath().getParent().getName().split("=")[1]) for f in files.globStatus(pattern) or []]
+
+
+def drop_before(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Delete the batches before one, of a log that is not merged."""
+    root = _path(spark, path)
+    files = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for old in _complete(spark, path):
+        if old < batch_id:
+            files.delete(_path(spark, f"{path}/level=0/first={old}"), True)
+
+
 def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 

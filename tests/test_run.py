@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallywell.__main__ import main
 from tallywell.operators import clean_transactions
-from tallywell.plans import run, start_stream
+from tallywell.plans import intake, run, start_stream
 from tallywell.schemas import KPI_NAMES, TARGETS, TOPICS
 from tallywell.session import recommended_conf
 from tallywell.settings import Settings, Source
@@ -23,7 +23,7 @@ from tallywell.sources import (
 )
 from tallywell.streaming import current_kpi
 
-from .conftest import TARGET
+from .conftest import TARGET, message
 
 BASE = "2024-06-01 12:00:00"
 
@@ -129,6 +129,56 @@ def test_tasks_that_are_tried_again_count_once(tmp_path):
     assert done.stdout.count("COUNTED 1000 1000") == 2, done.stderr[-2000:]
 
 
+def test_runs_over_a_growing_topic_equal_one_run(spark, tmp_path, monkeypatch):
+    sources = {t: Source("text", str(tmp_path / t)) for t in TOPICS}
+    settings = Settings(sources, str(tmp_path / "lake"), top=5, incremental=True, by_date=False)
+    for t in TOPICS:
+        (tmp_path / t).mkdir()
+
+    def publish(number, **messages):
+        for t, values in messages.items():
+            (tmp_path / "staged").write_text("".join(v + "\n" for v in values))
+            (tmp_path / "staged").rename(tmp_path / t / f"{number}.txt")
+
+    def same(result):
+        whole = run(spark, Settings(sources, str(tmp_path / "whole"), top=5, by_date=False), "2024-06-02T00:00:00Z")
+        for name in TOPICS:
+            assert sorted(result.clean[name].collect(), key=str) == sorted(whole.clean[name].collect(), key=str)
+        for name in KPI_NAMES:
+            assert sorted(result.kpis[name].collect(), key=str) == sorted(whole.kpis[name].collect(), key=str)
+
+    def again():
+        result = run(spark, settings, "2024-06-02T00:00:00Z")
+        row = result.summary.first()
+        return result, (row.records_ingested, row.records_processed)
+
+    sale = lambda id, **changes: message("transactions", transaction_id=id, **changes)
+    publish(1, transactions=[sale("a"), sale("b"), "broken"], clients=[message("clients")], products=[message("products")])
+    result, counts = again()
+    assert counts == (5, 4)
+    # later copies, an older one, a dimension that changes
+    publish(2, transactions=[sale("a", quantity=9, transaction_time="2024-02-01T00:00:00Z"), sale("b", quantity=8, transaction_time="2023-02-01T00:00:00Z"), sale("c", product_id="new")])
+    publish(3, products=[message("products", product_id="new"), message("products", name="Zebra")])
+    result, counts = again()
+    assert counts == (5, 6)
+    same(result)
+    # nothing new
+    result, counts = again()
+    assert counts == (0, 6)
+    same(result)
+    # a run that fails before its version is there takes the messages in again
+    publish(4, transactions=[sale("d")])
+    with monkeypatch.context() as broken:
+        broken.setattr(intake, "write_batch", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            again()
+    result, counts = again()
+    assert counts == (1, 7)
+    same(result)
+    versions = tmp_path / "lake" / "_versions" / "transactions" / "level=0"
+    assert len(list(versions.iterdir())) == 2
+
+
 def test_all_target_tables_are_filled(spark, sources, tmp_path, writes):
     run(spark, Settings(sources, str(tmp_path), jdbc=TARGET, by_date=False))
     modes = {w["table"]: "overwrite" if ("overwrite",) in w["told"] else "append" for w in writes}
