@@ -17,7 +17,7 @@ from ..scratch import materialize
 from .common import col, map_batches, number_within, slices
 
 #: distinct words whose ids a Python worker remembers, and as many it has not used since
-_REMEMBERED = 300_000
+_REMEMBERED = 500_000
 #: characters of text a Python worker holds at a time, beside one whole text
 _SLICE = 4_000_000
 _SPECIAL = "<|"
