@@ -531,6 +531,13 @@ UNION ALL SELECT 'kpi_customer_segments', count(*) FROM (
         """
 SELECT status, count(*) AS order_count, sum(quantity)::BIGINT AS units FROM txn
 WHERE year(transaction_time) = 1998 GROUP BY status""",
+    )
+    sql["lake_clients_in_month"] = _with(
+        TXN + CLI,
+        """
+SELECT client_id, count(*) AS order_count, sum(quantity)::BIGINT AS units FROM txn
+WHERE transaction_time::DATE BETWEEN DATE '1996-02-10' AND DATE '1996-03-09'
+  AND client_id IN (SELECT client_id FROM cli WHERE age BETWEEN 30 AND 39) GROUP BY client_id""",
     )
     money = "CAST(CAST({0} AS DECIMAL(12,2)) AS VARCHAR) AS {0}"
     shaped = TXN_COLUMNS
@@ -555,7 +562,7 @@ UNION ALL SELECT 'products', {_row(prd, "price weight_kg rating")} FROM prd""",
     )
     for what in ("drop", "label"):
         sql[f"kpi_orphans_{what}"] = _with(TXN + CLI + PRD, flat_kpis(what))
-    sql["store_kpis"] = sql["end_to_end"] = _with(TXN + CLI + PRD, flat_kpis())
+    sql["store_kpis"] = sql["end_to_end"] = sql["kpi_bucketed"] = _with(TXN + CLI + PRD, flat_kpis())
     sql["sink_audit"] = _with(
         TXN + CLI + PRD + [_STORED],
         """

@@ -39,7 +39,8 @@ from tallywell.plans import RunResult, run, store_clean, store_kpis
 from tallywell.schemas import KPI_NAMES, MESSAGE_SCHEMAS, TOPICS
 from tallywell.scratch import materialize, scratch_dir
 from tallywell.settings import Settings, Source
-from tallywell.sinks import by_date, sink_audit, write_parquet
+from tallywell.sinks import between_dates, by_date, date_unit, folder_bytes, sink_audit, write_parquet
+from tallywell.sinks.lake import PERIODS
 from tallywell.sources import decode_messages, encode_messages, read_messages, write_messages
 from tallywell.sources.synth import client_rows, product_rows, transaction_rows
 from tallywell.streaming import (
@@ -248,21 +249,43 @@ def _parquet_roundtrip(spark, sf_dir):
 
 @query("parquet_partition_pruned")
 def _parquet_partition_pruned(spark, sf_dir):
-    path = scratch_dir(spark, "lake")
-    dated = by_date(cleaned(spark, sf_dir, "transactions"))
-    # a small table with thousands of dates is a few bytes and many files: let every
-    # core write some, where Spark would leave so few bytes to one
-    with _setting(spark, "spark.sql.adaptive.coalescePartitions.minPartitionSize", "16KB"):
-        write_parquet(dated, path, partition_by="transaction_date")
-    year = F.col("transaction_date").between("1998-01-01", "1998-12-31")
+    path = _dated(spark, sf_dir)
     return (
-        spark.read.parquet(path)
-        .filter(year)
+        between_dates(spark.read.parquet(path), "1998-01-01", "1998-12-31")
         .groupBy("status")
         .agg(F.count("*").alias("order_count"), F.sum("quantity").alias("units"))
     )
 
 
+def _dated(spark, sf_dir, cluster_by=()) -> str:
+    """A folder of the transactions by as long a date unit as their bytes ask for."""
+    flat, path = scratch_dir(spark, "flat"), scratch_dir(spark, "lake")
+    write_parquet(cleaned(spark, sf_dir, "transactions"), flat)
+    rows = spark.read.parquet(flat)
+    unit = date_unit(rows, folder_bytes(spark, flat))
+    write_parquet(by_date(rows, unit), path, partition_by=PERIODS[unit], cluster_by=cluster_by)
+    return path
+
+
+@query("lake_clients_in_month")
+def _lake_clients_in_month(spark, sf_dir):
+    # the rows of clients in their thirties, in files sorted by client
+    stored = between_dates(spark.read.parquet(_dated(spark, sf_dir, ["client_id"])), "1996-02-10", "1996-03-09")
+    wanted = cleaned(spark, sf_dir, "clients").filter(F.col("age").between(30, 39)).select("client_id")
+    return (
+        stored.join(wanted, "client_id", "left_semi")
+        .groupBy("client_id")
+        .agg(F.count("*").alias("order_count"), F.sum("quantity").alias("units"))
+    )
+
+
+@query("kpi_bucketed")
+def _kpi_bucketed(spark, sf_dir):
+    lake, buckets = scratch_dir(spark, "lake"), 8
+    stored = store_clean({t: cleaned(spark, sf_dir, t) for t in TOPICS}, lake, buckets=buckets)
+    return _flat(compute_all(*(stored[t] for t in TOPICS), RUN_TS, share=f"{lake}/_totals", buckets=buckets))
+
+
 @query("target_conform")
 def _target_conform(spark, sf_dir):
     shaped = conform_to_target(cleaned(spark, sf_dir, "transactions"), "transactions")
@@ -363,10 +386,10 @@ def _store_kpis(spark, sf_dir):
 
 
 def _run(spark, sf_dir, dated: bool) -> tuple[str, RunResult]:
-    """A whole run over the topics; ``dated`` is a run's default."""
+    """A whole run over the topics; ``dated`` is a run's default, in folders as long as bytes ask for."""
     sources = {t: topic(spark, sf_dir, t) for t in TOPICS}
     lake = scratch_dir(spark, "lake")
-    return lake, run(spark, Settings(sources, lake, by_date=dated), RUN_TS)
+    return lake, run(spark, Settings(sources, lake, by_date=dated, date_unit=None), RUN_TS)
 
 
 @query("end_to_end")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import as_timestamp, average, exact_amount, inexact_amount, revenue
 from ..schemas import KPI_NAMES
-from ..scratch import store_at
+from ..scratch import store_at, store_bucketed
 
 ORPHAN_LABEL = "Unknown"
 MATCHED = "matched"
@@ -230,16 +230,24 @@ def compute_all(
     limit: int = 20,
     orphans: str = "keep",
     share: str | None = None,
+    buckets: int | None = None,
 ) -> dict[str, DataFrame]:
     """All four KPIs by table name, with one and the same run time.
 
     Category and top products derive from one set of product totals, the other two
     from one set of client totals. ``share`` names a folder these totals are written to
-    first, for callers that run the KPIs as separate jobs.
+    first, for callers that run the KPIs as separate jobs. With ``buckets`` they are written in so many buckets by
+    their key, and joined without a shuffle to dimensions that are stored alike. Transactions are not: a
+    hot product or client would be one task's, while its totals are one row.
     """
     at = as_timestamp(run_ts)
     by_product, by_client = product_totals(transactions), client_totals(transactions)
-    if share is not None:
+    if share is None and buckets is not None:
+        raise ValueError("buckets need a folder to share")
+    if buckets is not None:
+        by_product = store_bucketed(by_product, f"{share}/products", "product_id", buckets)
+        by_client = store_bucketed(by_client, f"{share}/clients", "client_id", buckets)
+    elif share is not None:
         by_product = store_at(by_product, f"{share}/products")
         by_client = store_at(by_client, f"{share}/clients")
     return {

@@ -15,7 +15,8 @@ from ..operators.kpis import compute_all
 from ..schemas import TARGETS, TOPICS
 from ..settings import Settings
 from ..sinks.jdbc import write_jdbc
-from ..sinks.lake import rows_of, write_parquet
+from ..sinks.audit import folder_bytes
+from ..sinks.lake import date_unit, rows_of, write_parquet
 from ..sources.messages import read_messages
 from .intake import CLEANERS, merged_clean
 from .store import store_clean, store_kpis
@@ -117,7 +118,10 @@ def run(
         ingested = sum(counts.values())
 
         counts = {}
-        clean = store_clean(frames, settings.lake, settings.jdbc, settings.by_date, counts)
+        unit = settings.date_unit or _unit(spark, settings, frames["transactions"])
+        clean = store_clean(
+            frames, settings.lake, settings.jdbc, settings.by_date, counts, unit, settings.cluster_by, settings.buckets
+        )
         processed = sum(counts.values())
 
         kpis = compute_all(
@@ -125,6 +129,7 @@ def run(
             run_ts=run_ts or started,
             limit=settings.top,
             share=f"{settings.lake}/_totals",
+            buckets=settings.buckets,
         )
         kpis = store_kpis(kpis, settings.lake, settings.jdbc, counts)
         stored = sum(counts.values())
@@ -146,6 +151,15 @@ def run(
     return RunResult(clean, kpis, summary)
 
 
+def _unit(spark: SparkSession, settings: Settings, transactions: DataFrame) -> str:
+    """The unit for the lake's folders. What the transactions are made of stands for their own bytes."""
+    source = settings.sources["transactions"]
+    kind = "_versions" if settings.incremental else "_raw"
+    landed = settings.incremental or source.kind != "parquet"
+    path = f"{settings.lake}/{kind}/transactions" if landed else source.location
+    return date_unit(transactions, folder_bytes(spark, path)) if settings.by_date else "day"
+
+
 def _log(summary: DataFrame, settings: Settings) -> None:
     write_parquet(summary, f"{settings.lake}/pipeline_runs", mode="append")
     if settings.jdbc is not None:

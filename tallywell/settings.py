@@ -48,7 +48,9 @@ class JdbcTarget:
 class Settings:
     """A whole run: three sources, the lake, and (if given) the database.
 
-    ``by_date`` partitions the lake's transactions by date. ``incremental`` makes a run read
+    ``by_date`` partitions the lake's transactions by date, in folders of a ``date_unit`` (day, month or
+    year; None: as long as their bytes ask for); ``cluster_by`` sorts their files. ``buckets`` stores dimensions and totals
+    by key, so that KPIs join them without a shuffle. ``incremental`` makes a run read
     only what came since the last one. ``trigger``, ``window``,
     ``horizon`` and ``checkpoint`` are for streams.
     """
@@ -62,6 +64,9 @@ class Settings:
     horizon: str | None = None
     top: int = 20
     by_date: bool = True
+    date_unit: str | None = "day"
+    cluster_by: tuple[str, ...] = ()
+    buckets: int | None = None
     incremental: bool = False
 
     def __post_init__(self):

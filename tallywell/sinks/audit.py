@@ -33,6 +33,12 @@ def sink_audit(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the Parquet files below a folder, which are listed and not read."""
+    files = _below(spark.read.format("binaryFile"), path)
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first().bytes
+
+
 def _below(reader: DataFrameReader, path: str) -> DataFrame:
     options = {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
     return reader.options(**options).load(path)

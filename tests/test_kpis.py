@@ -15,7 +15,8 @@ from tallywell.operators import (
     top_products,
     windowed_kpi,
 )
-from tallywell.schemas import KPI_NAMES
+from tallywell.plans import store_clean
+from tallywell.schemas import KPI_NAMES, TOPICS
 
 from .conftest import plan
 
@@ -168,6 +169,27 @@ def test_shared_totals_change_nothing(frames, tmp_path):
     assert counts == {n: alone[n].count() for n in KPI_NAMES}
 
 
+def test_bucketed_tables_are_joined_without_a_shuffle(spark, frames, tmp_path):
+    stored = store_clean(dict(zip(TOPICS, frames)), str(tmp_path), buckets=6, counts=(counts := {}))
+    assert counts == {t: df.count() for t, df in zip(TOPICS, frames)}
+    assert 1 < len(list((tmp_path / "clients").glob("*.parquet"))) <= 6
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = compute_all(*(stored[t] for t in TOPICS), "2024-05-05", orphans="drop", share=f"{tmp_path}/totals", buckets=6)
+        for name, df in got.items():
+            above, below = plan(df).split("SortMergeJoin", 1)
+            assert "Exchange" not in below and "Bucketed: true" in below, name
+        want = compute_all(*frames, "2024-05-05", orphans="drop")
+        assert {n: sorted(df.collect(), key=str) for n, df in got.items()} == {n: sorted(df.collect(), key=str) for n, df in want.items()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # written again, in place of what was there
+    again = store_clean({"clients": frames[1].limit(2)}, str(tmp_path), buckets=6)
+    assert again["clients"].count() == spark.read.parquet(str(tmp_path / "clients")).count() == 2
+    with pytest.raises(ValueError):
+        compute_all(*frames, buckets=6)
+
+
 def test_amounts_no_decimal_holds(spark, frames):
     rows = [("a", "C0", "P0", 1, float("nan")), ("b", "C1", "P1", 1, 1e20), ("c", "C1", "P1", 1, 0.5)]
     txn = spark.createDataFrame([(*r, "2024-01-01") for r in rows], TXN)

@@ -68,6 +68,12 @@ def test_batch_run(spark, sources, tmp_path):
         "kpi_customer_segments": ["segment", "total_revenue", "order_count", "unique_clients", "avg_spend"],
     }
 
+    # few bytes make few folders; dimensions and totals in buckets change no row
+    small = Settings(sources, f"{lake}/small", top=7, date_unit=None, cluster_by=("client_id",), buckets=3)
+    again = run(spark, small, "2024-06-02T00:00:00Z")
+    assert list((tmp_path / "small" / "transactions").glob("transaction_year=*"))
+    assert {n: sorted(df.collect(), key=str) for n, df in again.kpis.items()} == {n: sorted(df.collect(), key=str) for n, df in result.kpis.items()}
+
     # a second run replaces the tables and adds to the log
     run(spark, Settings(sources, lake, by_date=False), run_id="second")
     assert spark.read.parquet(f"{lake}/transactions").count() == 400

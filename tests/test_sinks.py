@@ -1,12 +1,13 @@
 from datetime import date
 from urllib.parse import unquote
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tallywell.plans import store_clean, store_kpis
 from tallywell.scratch import materialize, scratch_dir
-from tallywell.sinks import by_date, sink_audit, write_jdbc, write_parquet
+from tallywell.sinks import between_dates, by_date, date_unit, folder_bytes, sink_audit, write_jdbc, write_parquet
 
 from .conftest import TARGET, plan
 
@@ -63,6 +64,49 @@ def test_a_large_partition_value_is_spread_over_tasks(spark, tmp_path):
     assert len(list((tmp_path / "t" / "day=1").glob("*.parquet"))) > 1
 
 
+def test_files_are_clustered_and_row_groups_skipped(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(0, 120_000, 1, 6).select(
+        F.lit(1).alias("day"), F.format_string("C%06d", F.col("id") * 7919 % 120_000).alias("client_id"), F.sha1(F.col("id").cast("string")).alias("noise")
+    )
+    write_parquet(rows, path, partition_by="day", cluster_by=["client_id"], row_group=256 * 1024)
+    for file in (tmp_path / "t" / "day=1").glob("*.parquet"):
+        groups = pq.ParquetFile(file).metadata
+        found = [groups.row_group(i).column(0).statistics for i in range(groups.num_row_groups)]
+        assert len(found) > 4
+        # sorted: a value is in one of them, or at the border of two
+        assert all(a.max <= b.min for a, b in zip(found, found[1:]))
+    one = spark.read.parquet(path).filter("client_id = 'C000042'")
+    assert "PushedFilters: [IsNotNull(client_id), EqualTo(client_id,C000042)]" in plan(one) and one.count() == 1
+    flat = str(tmp_path / "flat")
+    write_parquet(rows, flat, cluster_by=["client_id"])
+    assert spark.read.parquet(flat).count() == 120_000
+
+
+@pytest.mark.parametrize("unit, folders", [("day", 70), ("month", 3), ("year", 1)])
+def test_date_units_and_their_readers(spark, tmp_path, unit, folders):
+    rows = spark.range(140).selectExpr(
+        "id", "timestampadd(HOUR, int(id * 12), timestamp'2024-01-01 00:00:00') AS transaction_time"
+    )
+    assert date_unit(rows, {"day": 70, "month": 69, "year": 2}[unit] * 1000, 1000) == unit
+    path = str(tmp_path / "t")
+    (column,) = set(by_date(rows, unit).columns) - set(rows.columns)
+    write_parquet(by_date(rows, unit), path, partition_by=column)
+    assert len(list((tmp_path / "t").glob(f"{column}=*"))) == folders
+    assert folder_bytes(spark, path) > folders * 100
+    found = between_dates(spark.read.parquet(path), "2024-01-31", date(2024, 2, 1))
+    assert sorted(r.id for r in found.collect()) == [60, 61, 62, 63]
+    assert "PartitionFilters: [isnotnull(" in plan(found) and "GreaterThanOrEqual(transaction_time" in plan(found)
+    # a table without dated folders is filtered all the same
+    assert between_dates(rows, "2024-01-31", "2024-01-31").count() == 2
+
+
+def test_date_unit_of_large_and_of_empty_tables(spark):
+    rows = spark.range(3).selectExpr("raise_error('read') AS transaction_time")
+    assert date_unit(rows, 3653, 1) == "day"
+    assert date_unit(spark.sql("SELECT timestamp'2024-01-01' AS transaction_time").limit(0), 0) == "day"
+
+
 def test_jdbc_append(spark, writes):
     write_jdbc(spark.range(2), "things", TARGET)
     (made,) = writes
