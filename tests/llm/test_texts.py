@@ -400,6 +400,68 @@ def test_scores(spark, docs, data, empty):
     assert lm.score_texts(docs.withColumn("learn", F.lit(False)), "learn").count() == len(data)
 
 
+def small_corpus():
+    r = np.random.default_rng(8)
+    words = [f"w{chr(97 + i % 26)}{i}" for i in range(70)]
+    weights = 1 / np.arange(1, 71)
+    return [" ".join(r.choice(words, 40, p=weights / weights.sum())) for _ in range(30)], words
+
+
+def test_rare_words_after_every_word(spark):
+    """Outcomes add up to one after any word, and restaurants of pairs are those that plain counts make."""
+    learned, words = small_corpus()
+    p = lm.Parameters(symbols=5, frequent=20)
+    c = Counter(w for t in learned for w in t.split())
+    ranked = sorted(c, key=lambda w: (-c[w], w))
+    before = [ranked[0], ranked[9], *ranked[30:36], "neverbefore"]
+    asked = [*before, *(f"{u} {w}" for u in before for w in [*ranked, "neverthere"])]
+    table = spark.createDataFrame([(i, t, i < len(learned)) for i, t in enumerate([*learned, *asked])], "doc_id long, text string, learn boolean").repartition(4)
+    score = {r.text: r.score for r in table.join(lm.score_texts(table, "learn", parameters=p).drop("learn"), "doc_id").collect()}
+
+    # the model's symbols, to take the ends of texts out of the scores
+    texts = table.filter("learn")
+    top = lm.frequent_words(lm.word_counts(texts, "text"), p.frequent)[0].toPandas()
+    vocabulary = lm.Vocabulary([bytes(w) for w in top.word], top.c.to_numpy(np.int64), p.symbols)
+    frequent = {w.decode() for w in vocabulary.words}
+    assert 5 < len(frequent) <= 20
+    symbols = lm.symbol_model(lm.symbol_counts(texts, "text", vocabulary), p)
+    kind = {w: vocabulary.symbol_of[vocabulary.index.get(w.encode(), -1)] for w in [*ranked, *before, "neverthere"]}
+
+    def log10(w, u):
+        return score[f"{u} {w}"] - symbols[kind[w], vocabulary.end] - score[u] + symbols[kind[u], vocabulary.end]
+
+    for u in before:
+        total = sum(10 ** log10(w, u) for w in [*ranked, "neverthere"]) + 10 ** symbols[kind[u], vocabulary.end]
+        assert math.isclose(total, 1, rel_tol=1e-4)
+
+    # rare words after rare words: counts, one table for a single customer, and the parent's share
+    pairs = Counter((u, w) for t in learned for u, w in zip([None, *t.split()], t.split()) if w not in frequent)
+    n = Counter(pairs.values())
+    d = lm.discount(np.array([1, 2]), np.array([n[1], n[2]]))
+    for u in before[2:-1]:
+        own = {w: k for (v, w), k in pairs.items() if v == u}
+        for w in (x for x in ranked if x not in frequent):
+            parent, found = (10 ** (log10(w, v) - symbols[vocabulary.rare, vocabulary.rare]) for v in ("neverbefore", u))
+            k, tables, customers = own.get(w, 0), len(own), sum(own.values())
+            # several customers have several tables at most
+            spare = sum(x - 1 for x in own.values())
+            low, high = ((k - d * max(t, 0) + (1 + d * total) * parent) / (customers + 1) for t, total in ((k, tables), (min(k, 1), tables + spare)))
+            assert low * 0.999 <= found <= high * 1.001
+            if not spare:
+                assert math.isclose(low, found, rel_tol=1e-3)
+
+
+def test_pairs_of_rare_words_are_remembered(spark):
+    learned, _ = small_corpus()
+    copy = " ".join(f"rare{i}" for i in range(30))
+    shuffled = " ".join(f"rare{i * 7 % 30}" for i in range(30))
+    rows = [*((t, True) for t in [*learned, copy, copy]), (copy, False), (shuffled, False)]
+    table = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, learn boolean")
+    got = {r.doc_id: r.score for r in lm.score_texts(table, "learn", parameters=lm.Parameters(symbols=5, frequent=20)).collect()}
+    last = len(rows) - 1
+    assert got[last - 1] > got[last] + 20 and math.isclose(got[last - 1], got[last - 2])
+
+
 def test_restaurants_add_up_to_one():
     r = np.random.default_rng(4)
     counts = r.poisson(0.7, (30, 30))
