@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..settings import Source
 
 ENVELOPE = "key string, value string"
+#: how folders are compressed unless a sink's options say otherwise; readers go by the files
+COMPRESSION = {"json": "gzip", "text": "gzip", "parquet": "zstd"}
 
 
 def read_messages(spark: SparkSession, source: Source) -> DataFrame:
@@ -59,7 +61,7 @@ def write_messages(messages: DataFrame, sink: Source, mode: str = "append") -> N
     (
         messages.select(*columns)
         .write.format(sink.kind)
-        .options(**sink.options)
+        .options(**{"compression": COMPRESSION[sink.kind], **sink.options})
         .mode(mode)
         .save(sink.location)
     )

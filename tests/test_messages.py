@@ -160,3 +160,15 @@ def test_rejects_are_counted_in_one_parse(spark):
     assert got == {(None, "read"): 5, (None, "kept"): 3, (None, "no object"): 1, (None, "empty"): 1, ("quantity", "type"): 2}
     assert plan(reject_counts({"transactions": raw_rows})).count("from_json") == 1
     assert reject_counts({"clients": raw_rows.limit(0)}).count() == 0
+
+
+@pytest.mark.parametrize("kind, ending", [("json", ".gz"), ("text", ".gz"), ("parquet", ".zstd.parquet")])
+def test_folders_are_compressed(spark, tmp_path, kind, ending):
+    from tallywell.sources import write_messages
+
+    rows = spark.createDataFrame([("k", "v"), (None, "w")], "key string, value string")
+    source = Source(kind, str(tmp_path / kind))
+    write_messages(rows, source)
+    files = [f.name for f in (tmp_path / kind).iterdir() if f.name.startswith("part-")]
+    assert files and all(name.endswith(ending) for name in files)
+    assert sorted(r.value for r in read_messages(spark, source).collect()) == ["v", "w"]
