@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from ..operators.conform import conform_to_target
 from ..operators.kpis import compute_all
 from ..schemas import TARGETS, TOPICS
+from ..scratch import store_at
 from ..settings import Settings
 from ..sinks.jdbc import write_jdbc
 from ..sinks.audit import folder_bytes
-from ..sinks.lake import date_unit, rows_of, write_parquet
+from ..sinks.lake import FOLDER_BYTES, SURE_DAYS, date_unit, rows_of, write_parquet
 from ..sources.messages import read_messages
 from .intake import CLEANERS, merged_clean
 from .store import store_clean, store_kpis
@@ -118,7 +119,10 @@ def run(
         ingested = sum(counts.values())
 
         counts = {}
-        unit = settings.date_unit or _unit(spark, settings, frames["transactions"])
+        unit = settings.date_unit
+        if unit is None:
+            unit, transactions = _unit(spark, settings, frames["transactions"])
+            frames = {**frames, "transactions": transactions}
         clean = store_clean(
             frames, settings.lake, settings.jdbc, settings.by_date, counts, unit, settings.cluster_by, settings.buckets
         )
@@ -151,13 +155,21 @@ def run(
     return RunResult(clean, kpis, summary)
 
 
-def _unit(spark: SparkSession, settings: Settings, transactions: DataFrame) -> str:
-    """The unit for the lake's folders. What the transactions are made of stands for their own bytes."""
+def _unit(spark: SparkSession, settings: Settings, transactions: DataFrame) -> tuple[str, DataFrame]:
+    """The unit for the lake's folders, and the transactions. What these are made of stands for their own bytes.
+
+    Rows whose dates are looked at and that no run has stored yet are written first, so that they are cleaned once.
+    """
+    if not settings.by_date:
+        return "day", transactions
     source = settings.sources["transactions"]
     kind = "_versions" if settings.incremental else "_raw"
     landed = settings.incremental or source.kind != "parquet"
     path = f"{settings.lake}/{kind}/transactions" if landed else source.location
-    return date_unit(transactions, folder_bytes(spark, path)) if settings.by_date else "day"
+    size = folder_bytes(spark, path)
+    if not settings.incremental and size < FOLDER_BYTES * SURE_DAYS:
+        transactions = store_at(transactions, f"{settings.lake}/_clean/transactions")
+    return date_unit(transactions, size), transactions
 
 
 def _log(summary: DataFrame, settings: Settings) -> None:

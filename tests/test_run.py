@@ -232,3 +232,18 @@ def test_partitions_grow_with_the_input():
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     assert recommended_conf(10**6)[key] == "200"
     assert int(recommended_conf(100 * 10**12)[key]) > 300_000
+
+
+def test_rows_are_stored_before_their_dates_are_looked_at(spark, tmp_path):
+    from importlib import import_module
+
+    from tallywell.schemas import TOPICS
+
+    sources = {t: Source("parquet", str(tmp_path / t)) for t in TOPICS}
+    rows = spark.range(4).selectExpr("id", "timestamp_seconds(id * 86400) AS transaction_time")
+    rows.write.parquet(sources["transactions"].location)
+    lake = tmp_path / "lake"
+    settings = Settings(sources, str(lake), date_unit=None)
+    unit, kept = import_module("tallywell.plans.run")._unit(spark, settings, rows)
+    assert unit == "year" and sorted(r.id for r in kept.collect()) == [0, 1, 2, 3]
+    assert all(str(lake / "_clean") in f for f in kept.inputFiles())
