@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.clean import ENTITIES
 from ..operators.dedup import dedup_latest
-from ..operators.windows import windowed_kpi
+from ..operators.windows import BY_PRODUCT, period_totals, windowed_kpi
 from ..schemas import KPI_NAMES
 from ..scratch import store_at
 from ..settings import JdbcTarget
@@ -99,7 +99,7 @@ def stream_to_sinks(
     """
     schema = transactions.schema
     dimensions = {
-        kpi: products if kpi in ("kpi_revenue_by_category", "kpi_top_products") else clients
+        kpi: products if kpi in BY_PRODUCT else clients
         for kpi in KPI_NAMES
     }
 
@@ -133,9 +133,16 @@ def stream_to_sinks(
         current = dedup_latest(placed.join(ids, _ID, "left_semi"), _ID, _ORDER)
         # batches come one after another and take turns in one folder
         current = store_at(current.join(touched, "window_start", "left_semi"), f"{lake}/_windows")
+        # two KPIs sum up the totals per product, two those per client
+        totals = {
+            by_product: store_at(period_totals(kpi, current, width), f"{lake}/_totals_{int(by_product)}")
+            for by_product, kpi in ((True, "kpi_top_products"), (False, "kpi_customer_segments"))
+        }
         results = {
             kpi: write_batch(
-                windowed_kpi(kpi, current, dimension, width, limit), _kpi_path(lake, kpi), batch_id
+                windowed_kpi(kpi, current, dimension, width, limit, totals=totals[kpi in BY_PRODUCT]),
+                _kpi_path(lake, kpi),
+                batch_id,
             )
             for kpi, dimension in dimensions.items()
         }

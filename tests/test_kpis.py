@@ -287,3 +287,12 @@ def test_window_top_beyond_any_limit_of_the_optimizer(spark):
     products = spark.createDataFrame([], "product_id string, name string")
     got = windowed_kpi("kpi_top_products", txn, products, "1 day", 2000).collect()
     assert sorted(r.units_sold for r in got) == list(range(n - 2000 + 1, n + 1))
+
+
+def test_windowed_kpis_share_totals(frames):
+    from tallywell.operators.windows import period_totals
+
+    for kpi, dimension in (("kpi_top_products", frames[2]), ("kpi_customer_segments", frames[1])):
+        want = windowed_kpi(kpi, frames[0], dimension)
+        got = windowed_kpi(kpi, frames[0].limit(0), dimension, totals=period_totals(kpi, frames[0], "1 day"))
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
