@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.clean import ENTITIES, clean_clients, clean_products, clean_transactions
+from ..operators.clean import ENTITIES, clean_clients, clean_products, clean_transactions, valid_rows
 from ..operators.dedup import dedup_latest
 from ..schemas import TOPICS
 from ..settings import Settings, Source
@@ -71,10 +71,10 @@ def merged_clean(
         else:
             messages = batches_after(spark, taken, done, last)
             new = messages.count()
-            rows = CLEANERS[topic](messages)
+            rows = valid_rows(messages, topic)
             if done is not None:
-                rows = dedup_latest(rows.unionByName(_version(spark, versions, done, topic)), entity.key, entity.order_by)
-            tables[topic] = write_batch(rows, versions, last)
+                rows = rows.unionByName(_version(spark, versions, done, topic))
+            tables[topic] = write_batch(dedup_latest(rows, entity.key, entity.order_by), versions, last)
             if done is not None:
                 drop_before(spark, versions, done)
         if counts is not None:
