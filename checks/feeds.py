@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallywell.scratch import scratch_dir
 from tallywell.settings import Source
 from tallywell.sources import read_messages
-from tallywell.sources.messages import COMPRESSION
+from tallywell.sources.messages import COMPRESSION, ZSTD_LEVEL
 
 ISO = "yyyy-MM-dd\\'T\\'HH:mm:ss\\'Z\\'"
 
@@ -116,7 +116,8 @@ def topic(spark: SparkSession, sf_dir: str, name: str) -> Source:
     if known not in _published:
         source = Source("parquet", scratch_dir(spark, f"topic-{name}"))
         # the time stays beside the message, for queries that publish in its order
-        BUILDERS[name](spark, sf_dir).write.parquet(source.location, compression=COMPRESSION["parquet"])
+        messages = BUILDERS[name](spark, sf_dir)
+        messages.write.options(**ZSTD_LEVEL).parquet(source.location, compression=COMPRESSION["parquet"])
         _published[known] = source
     return _published[known]
 

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from tallywell.operators import (
     ENTITIES,
+    KPI_COLUMNS,
     conform_to_target,
     orphan_keys,
     target_violations,
@@ -216,10 +217,15 @@ def _kpi_customer_segments(spark, sf_dir):
     return customer_segments(txn, cli, RUN_TS)
 
 
+def _kpis(spark, sf_dir, orphans="keep") -> dict[str, DataFrame]:
+    """All KPIs. Clean rows are written first, in the columns read, so that rows are parsed and deduplicated once, not by each KPI."""
+    stored = (materialize(cleaned(spark, sf_dir, t).select(*KPI_COLUMNS[t]), t) for t in TOPICS)
+    return compute_all(*stored, RUN_TS, orphans=orphans, share=scratch_dir(spark, "totals"))
+
+
 @query("kpi_row_counts")
 def _kpi_counts(spark, sf_dir):
-    txn, cli, prd = (cleaned(spark, sf_dir, t) for t in TOPICS)
-    return kpi_row_counts(compute_all(txn, cli, prd, RUN_TS))
+    return kpi_row_counts(_kpis(spark, sf_dir))
 
 
 def _windowed(name: str) -> Query:
@@ -341,11 +347,7 @@ def _flat(kpis: dict[str, DataFrame]) -> DataFrame:
 
 
 def _orphans(what: str) -> Query:
-    def run(spark, sf_dir):
-        txn, cli, prd = (cleaned(spark, sf_dir, t) for t in TOPICS)
-        return _flat(compute_all(txn, cli, prd, RUN_TS, orphans=what))
-
-    return run
+    return lambda spark, sf_dir: _flat(_kpis(spark, sf_dir, what))
 
 
 for _what in ("drop", "label"):

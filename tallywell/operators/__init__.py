@@ -9,6 +9,7 @@ from .conform import conform_to_target
 from .dedup import dedup_latest
 from .distinct import client_sketches, distinct_clients, merged_sketches, relative_error
 from .kpis import (
+    KPI_COLUMNS,
     client_totals,
     compute_all,
     customer_segments,
@@ -23,6 +24,7 @@ from .windows import windowed_kpi
 
 __all__ = [
     "ENTITIES",
+    "KPI_COLUMNS",
     "clean_clients",
     "clean_products",
     "clean_transactions",

@@ -26,6 +26,12 @@ from ..scratch import store_at, store_bucketed
 ORPHAN_LABEL = "Unknown"
 MATCHED = "matched"
 PERIOD = ("window_start", "window_end")
+#: what :func:`compute_all` reads of each table
+KPI_COLUMNS = {
+    "transactions": ("transaction_id", "client_id", "product_id", "quantity", "total_amount"),
+    "clients": ("client_id", "country", "segment"),
+    "products": ("product_id", "name", "category"),
+}
 
 
 # --- per-key totals -----------------------------------------------------------
