@@ -382,9 +382,7 @@ def _text(df: DataFrame, column: str) -> Column:
 
 @query("store_kpis")
 def _store_kpis(spark, sf_dir):
-    txn, cli, prd = (materialize(cleaned(spark, sf_dir, t), t) for t in TOPICS)
-    kpis = compute_all(txn, cli, prd, RUN_TS, share=scratch_dir(spark, "totals"))
-    return _flat(store_kpis(kpis, scratch_dir(spark, "lake")))
+    return _flat(store_kpis(_kpis(spark, sf_dir), scratch_dir(spark, "lake")))
 
 
 def _run(spark, sf_dir, dated: bool) -> tuple[str, RunResult]:

@@ -5,6 +5,7 @@ import pytest
 from checks import registry
 from tallywell.operators import compute_all
 from tallywell.schemas import TOPICS
+from tallywell.scratch import materialize
 
 from .conftest import message, optimized, raw
 
@@ -28,3 +29,17 @@ def test_kpis_of_one_query_share_stored_rows(spark, monkeypatch, what):
     assert "from_json" not in optimized(got) and "Window" not in optimized(got)
     want = registry._plain(registry._flat(compute_all(*(clean[t] for t in TOPICS), registry.RUN_TS, orphans=what)))
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_stored_kpis_come_from_the_columns_they_read(spark, monkeypatch):
+    clean, stored = _topics(spark, monkeypatch), {}
+
+    def noted(df, label):
+        stored[label] = df.columns
+        return materialize(df, label)
+
+    monkeypatch.setattr(registry, "materialize", noted)
+    got = registry.QUERIES["store_kpis"](spark, "")
+    want = registry._plain(registry._flat(compute_all(*(clean[t] for t in TOPICS), registry.RUN_TS)))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert set(stored["transactions"]) == {"transaction_id", "client_id", "product_id", "quantity", "total_amount"}
