@@ -546,14 +546,19 @@ def _stream_dedup(spark, sf_dir):
     # copies in these tables are up to seven years apart
     first = _drain(stream_dedup(rows, "transaction_id", "transaction_time", "2600 days"), spark)
     # which copy came first is chance, but it has to be one of those sent, as it was
-    sent = valid_rows(feed(spark, sf_dir, "transactions"), "transactions").distinct()
-    same = reduce(Column.__and__, [first[c].eqNullSafe(sent[c]) for c in first.columns])
-    found = sent.select("*", F.lit(True).alias("found"))
-    return (
-        first.join(found, same, "left")
-        .groupBy(first["transaction_id"])
-        .agg(F.count("*").alias("row_count"), F.count("found").alias("rows_as_sent"))
-    )
+    sent = valid_rows(feed(spark, sf_dir, "transactions"), "transactions")
+    return _as_sent(first, sent, "transaction_id")
+
+
+def _as_sent(first: DataFrame, sent: DataFrame, key: str) -> DataFrame:
+    """Rows of ``first`` per ``key``, and how many of them are equal to some row of ``sent``.
+
+    Both are grouped by the whole row in one shuffle: equal rows meet as one row per task, and none are sorted to be joined.
+    """
+    both = first.select("*", F.lit(1).alias("came")).unionByName(sent.select("*", F.lit(0).alias("came")))
+    rows = both.groupBy(*first.columns).agg(F.sum("came").alias("came"), F.min("came").alias("least")).filter("came > 0")
+    as_sent = F.when(F.col("least") == 0, F.col("came")).otherwise(F.lit(0))
+    return rows.groupBy(key).agg(F.sum("came").alias("row_count"), F.sum(as_sent).alias("rows_as_sent"))
 
 
 def _clean_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from tallywell.operators import compute_all
 from tallywell.schemas import TOPICS
 from tallywell.scratch import materialize
 
-from .conftest import message, optimized, raw
+from .conftest import message, optimized, plan, raw
 
 
 def _topics(spark, monkeypatch):
@@ -43,3 +43,12 @@ def test_stored_kpis_come_from_the_columns_they_read(spark, monkeypatch):
     want = registry._plain(registry._flat(compute_all(*(clean[t] for t in TOPICS), registry.RUN_TS)))
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     assert set(stored["transactions"]) == {"transaction_id", "client_id", "product_id", "quantity", "total_amount"}
+
+
+def test_rows_as_sent_meet_without_a_join(spark):
+    schema = "id string, n int, x double"
+    sent = spark.createDataFrame([("a", 1, None), ("a", 1, None), ("a", 2, 0.5), ("b", None, float("nan")), ("c", 1, 1.0)], schema)
+    first = spark.createDataFrame([("a", 1, None), ("a", 2, 0.6), ("b", None, float("nan")), ("d", 1, 1.0), ("d", 1, 1.0)], schema)
+    got = registry._as_sent(first, sent, "id")
+    assert "Join" not in optimized(got) and plan(got).count("Exchange hashpartitioning") == 2
+    assert sorted(map(tuple, got.collect())) == [("a", 2, 1), ("b", 1, 1), ("d", 2, 0)]
