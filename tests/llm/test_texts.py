@@ -451,6 +451,58 @@ def test_rare_words_after_every_word(spark):
                 assert math.isclose(low, found, rel_tol=1e-3)
 
 
+def test_frequent_words_after_every_word(spark):
+    """Restaurants of frequent words after words that are no symbols are those that plain counts make."""
+    learned, words = small_corpus()
+    # a frequent word that never stands after one that is as frequent as it, and after a rare one
+    learned += [f"{words[12]} {words[8]} {words[50]} {words[2]}"] * 6
+    p = lm.Parameters(symbols=5, frequent=20)
+    c = Counter(w for t in learned for w in t.split())
+    texts = spark.createDataFrame([(t,) for t in learned], "text string")
+    top = lm.frequent_words(lm.word_counts(texts, "text"), p.frequent)[0].toPandas()
+    vocabulary = lm.Vocabulary([bytes(w) for w in top.word], top.c.to_numpy(np.int64), p.symbols)
+    frequent = [w.decode() for w in vocabulary.words]
+    symbols, others = frequent[:5], frequent[5:]
+    assert len(others) > 5
+    model = lm.symbol_model(lm.symbol_counts(texts, "text", vocabulary), p)
+    kind = {w: vocabulary.symbol_of[vocabulary.index.get(w.encode(), -1)] for w in [*c, "neverbefore"]}
+    rare = [w for w in c if w not in frequent]
+    before = [*others, *rare[:8], words[50], "neverbefore"]
+    asked = [*{*symbols, *before}, *(f"{u} {w}" for u in {*symbols, *before} for w in frequent)]
+    table = spark.createDataFrame([(i, t, i < len(learned)) for i, t in enumerate([*learned, *asked])], "doc_id long, text string, learn boolean").repartition(4)
+    score = {r.text: r.score for r in table.join(lm.score_texts(table, "learn", parameters=p).drop("learn"), "doc_id").collect()}
+
+    def chance(w, u, given):
+        """Of a word after another, given that a word of some kind follows."""
+        return 10 ** (score[f"{u} {w}"] - model[kind[w], vocabulary.end] - score[u] + model[kind[u], vocabulary.end]) / given
+
+    def check(us, ws, parent):
+        pairs = Counter((u, w) for t in learned for u, w in zip(t.split(), t.split()[1:]) if u in us and w in ws)
+        n = Counter(k for (u, w), k in Counter((u, w) for t in learned for u, w in zip([None, *t.split()], t.split()) if (u in symbols or u is None) == (us == symbols) and w in ws).items())
+        d = lm.discount(np.array([1, 2]), np.array([n[1], n[2]]))
+        for u in us:
+            own = {w: k for (v, w), k in pairs.items() if v == u}
+            customers, tables, spare = sum(own.values()), len(own), sum(x - 1 for x in own.values())
+            after = sum(10 ** model[kind[u], : vocabulary.other + 1]) if us != symbols else 10 ** model[kind[u], vocabulary.other]
+            found = {w: chance(w, u, after) for w in ws}
+            assert math.isclose(sum(found.values()), 1, rel_tol=1e-3)
+            for w in ws:
+                k, above = own.get(w, 0), parent(u, w)
+                low, high = ((k - d * t + (1 + d * total) * above) / (customers + 1) for t, total in ((k, tables), (min(k, 1), tables + spare)))
+                assert low * 0.999 <= found[w] <= high * 1.001
+
+    by_itself = {w: chance(w, "neverbefore", 10 ** model[vocabulary.rare, vocabulary.other]) for w in others}
+
+    def of_class(u, w):
+        kinds = model[kind[u], : vocabulary.other + 1]
+        logs = model[kind[u], kind[w]] + (math.log10(by_itself[w]) if w in others else 0)
+        return 10**logs / sum(10**kinds)
+
+    check(symbols, others, lambda u, w: by_itself[w])
+    check(before, frequent, of_class)
+    assert score[f"{words[12]} {words[8]}"] > score[f"{words[12]} {words[9]}"] + 0.3
+
+
 def test_pairs_of_rare_words_are_remembered(spark):
     learned, _ = small_corpus()
     copy = " ".join(f"rare{i}" for i in range(30))
