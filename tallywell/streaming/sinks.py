@@ -117,10 +117,13 @@ def stream_to_sinks(
             dates = batch.select(_ID, DATE)
             write_batch(bucketed(dates, _ID, 0, merge_every), _dates_path(lake), batch_id, BUCKET)
             dates = store_at(dates_of(spark, lake, batch, batch_id, merge_every), f"{lake}/_dates")
-            copies = on_dates(log, dates).drop(BATCH).join(batch.select(_ID), _ID, "left_semi")
-            copies = store_at(copies, f"{lake}/_copies")
+            held = on_dates(log, dates).drop(BATCH)
+            # rows as a whole are dealt by id once, and none are stored; windows need the time only
+            apart = dates.groupBy(_ID).agg(F.count("*").alias("dates")).filter("dates > 1").select(_ID)
+            copies = held.join(apart, _ID, "left_semi")
             write_batch(moved_rows(copies, dates), _moved_path(lake), batch_id, DATE)
-            touched = store_at(copies.select(start).distinct(), f"{lake}/_touched")
+            windows = held.select(_ID, start).join(batch.select(_ID), _ID, "left_semi").select("window_start")
+            touched = store_at(windows.distinct(), f"{lake}/_touched")
             moved = read_batches(spark, _moved_path(lake), _rows_schema(schema))
             log = on_dates(log.unionByName(moved), covered(touched, width, log_unit)).drop(BATCH, DATE)
         else:

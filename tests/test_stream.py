@@ -286,6 +286,28 @@ def test_copies_far_apart_are_found_by_the_index(spark, tmp_path, dimensions, mo
     assert listed == [{"03-01"}, {"02-29", "03-01", "03-02"}]
 
 
+def test_only_rows_of_ids_on_several_dates_are_kept_twice(spark, tmp_path, dimensions, monkeypatch):
+    topic, copies, stored = Topic(tmp_path), [], {}
+    moved, store = sinks.moved_rows, sinks.store_at
+
+    def noted(rows, dates):
+        copies.append(sorted(r.transaction_id for r in rows.collect()))
+        return moved(rows, dates)
+
+    def stored_at(df, path):
+        stored[path.rsplit("/", 1)[1]] = df.columns
+        return store(df, path)
+
+    monkeypatch.setattr(sinks, "moved_rows", noted)
+    monkeypatch.setattr(sinks, "store_at", stored_at)
+    for values in ([on("01-05", "a"), on("01-05", "b"), on("03-01", "c")], [on("02-10", "a"), on("01-05", "b", "00:20")]):
+        topic.publish(*values)
+        schema = drain(spark, topic, dimensions, tmp_path)
+    assert_equals_batch(spark, topic, dimensions, tmp_path, schema)
+    assert copies == [[], ["a", "a"]]
+    assert {name for name, columns in stored.items() if "total_amount" in columns} == {"_windows"}
+
+
 def test_few_files_of_a_long_index_are_read(spark, tmp_path):
     ids = spark.range(6400).select(F.format_string("id%d", "id").alias("transaction_id"), F.lit("2024-01-01").cast("date").alias("transaction_date"))
     path, schema, every = str(tmp_path / "index"), ids.schema, 8
