@@ -6,6 +6,7 @@ from checks import registry
 from tallywell.operators import compute_all
 from tallywell.schemas import TOPICS
 from tallywell.scratch import materialize
+from tallywell.streaming import stream_dedup
 
 from .conftest import message, optimized, plan, raw
 
@@ -52,3 +53,15 @@ def test_rows_as_sent_meet_without_a_join(spark):
     got = registry._as_sent(first, sent, "id")
     assert "Join" not in optimized(got) and plan(got).count("Exchange hashpartitioning") == 2
     assert sorted(map(tuple, got.collect())) == [("a", 2, 1), ("b", 1, 1), ("d", 2, 0)]
+
+
+def test_a_month_of_ids_is_held_on_disk(spark, tmp_path):
+    rows = [(f"T{i % 5}", f"2024-01-0{1 + i % 3}T00:00:00Z") for i in range(15)]
+    spark.createDataFrame(rows, "id string, time string").selectExpr("id", "cast(time AS timestamp) AS time").write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("id string, time timestamp").parquet(str(tmp_path / "in"))
+    folders = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    got = registry._drain(stream_dedup(stream, "id", "time", "30 days"), spark, folders, on_disk=True)
+    assert sorted(r.id for r in got.collect()) == [f"T{i}" for i in range(5)]
+    state = {f.suffix for f in (tmp_path / "checkpoint/state").rglob("*") if not f.name.startswith(".")}
+    assert ".delta" not in state and {".zip", ".changelog"} & state
+    assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
