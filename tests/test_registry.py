@@ -1,6 +1,7 @@
 """Queries of the checks that share what several results are made of, on rows of their own."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks import registry
 from tallywell.operators import compute_all
@@ -55,6 +56,20 @@ def test_rows_as_sent_meet_without_a_join(spark):
     assert sorted(map(tuple, got.collect())) == [("a", 2, 1), ("b", 1, 1), ("d", 2, 0)]
 
 
+def test_a_slice_reads_its_own_folder(spark):
+    rows = [(f"k{i}", f"v{i}", i % 3 if i % 10 else None) for i in range(300)]
+    messages = spark.createDataFrame(rows, "key string, value string, n int").repartition(4)
+    staged = registry._staged(messages, F.col("n"), 3, False)
+    assert staged.columns == ["key", "value", "n", "slice"]
+    for number in range(3):
+        part = staged.filter(F.col("slice") == number)
+        assert all(f"/slice={number}/" in f.file for f in part.select(F.input_file_name().alias("file")).distinct().collect())
+        assert sorted(r.key for r in part.collect()) == sorted(k for k, _, n in rows if n == number)
+    source = registry._paced(messages, F.col("n"), 3)
+    files = [r.n for r in spark.read.parquet(source.location).groupBy(F.input_file_name()).agg(F.min(F.substring("key", 2, 9).cast("int") % 3).alias("n")).collect()]
+    assert len(files) == 3 * int(source.options["maxFilesPerTrigger"]) and len({files.count(n) for n in range(3)}) == 1
+
+
 def test_a_month_of_ids_is_held_on_disk(spark, tmp_path):
     rows = [(f"T{i % 5}", f"2024-01-0{1 + i % 3}T00:00:00Z") for i in range(15)]
     spark.createDataFrame(rows, "id string, time string").selectExpr("id", "cast(time AS timestamp) AS time").write.parquet(str(tmp_path / "in"))
